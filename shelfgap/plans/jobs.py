@@ -76,16 +76,16 @@ def ingest(
 
 
 def recommendations(
-    catalog: DataFrame,
+    seller_catalog: DataFrame,
     company_sales: DataFrame,
     competitor_sales: DataFrame,
     staging: Staging,
     options: Options = Options(),
 ) -> DataFrame:
     """Tables to the result, in the result's declared types."""
-    items = item_dimension(catalog, unit_price=options.price_basis == "unit")
+    items = item_dimension(seller_catalog, unit_price=options.price_basis == "unit")
     found = recommend(
-        catalog,
+        seller_catalog,
         company_top_items(company_sales, items, options.top_n),
         competitor_top_items(competitor_sales, items, options.top_n),
         staging,
