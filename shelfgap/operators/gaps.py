@@ -1,8 +1,9 @@
 """Items a seller does not list, found without pairing every seller with every item.
 
 The items are numbered 1..size in one fixed order. A seller's listings then are a set of
-positions and its gaps are the positions left open, which two equi-joins on (seller, position)
-find. Work grows with listings and results, not with sellers times items.
+positions, and its gaps are the positions left open. For a list of at most ``MASK_ITEMS`` items
+the set is a few 64-bit masks per seller, built by one aggregate. A longer list is handled by
+equi-joins on (seller, position) or (seller, block), whose work grows with listings and results.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ from shelfgap.sources.staging import Staging
 SELLER = "seller_id"
 ITEM = "item_id"
 POSITION = "position"
+MASK_ITEMS = 2048  # 32 masks per seller
+_BLOCK_BITS = 6  # 64 positions to a block, one bit each in a bigint
 _CHUNK = "_chunk"
 _BLOCK = "_block"
 _BIT = "_bit"
-_BLOCK_BITS = 6  # 64 positions, one bit each in a bigint
 
 
 class NumberedItems(NamedTuple):
@@ -50,13 +52,83 @@ def number_items(items: DataFrame, order: Sequence[Column], staging: Staging) ->
         items.repartitionByRange(*order).withColumn(_CHUNK, F.spark_partition_id())
     )
     # One count per range partition comes to the driver, never more than shuffle partitions.
-    counts = ranged.groupBy(_CHUNK).count().orderBy(_CHUNK).collect()
-    starts = list(accumulate((n for _, n in counts), initial=0))
-    inside = F.row_number().over(Window.partitionBy(_CHUNK).orderBy(*order)).cast("bigint")
-    if len(counts) > 1:
-        entries = [F.lit(v) for (chunk, _), start in zip(counts, starts) for v in (chunk, start)]
-        inside = inside + F.create_map(*entries)[F.col(_CHUNK)]
-    return NumberedItems(ranged.withColumn(POSITION, inside).drop(_CHUNK), starts[-1])
+    counts = dict(ranged.groupBy(_CHUNK).count().collect())
+    sizes = [counts.get(chunk, 0) for chunk in range(max(counts, default=-1) + 1)]
+    *starts, size = accumulate(sizes, initial=0)
+    position = F.row_number().over(Window.partitionBy(_CHUNK).orderBy(*order)).cast("bigint")
+    if len(starts) > 1:
+        position = position + F.array(*map(F.lit, starts))[F.col(_CHUNK)]
+    return NumberedItems(ranged.withColumn(POSITION, position).drop(_CHUNK), size)
+
+
+def _place(position: Column) -> tuple[Column, Column]:
+    """Block of a position and bit within the block, both from 0."""
+    place = position - 1
+    block = F.shiftright(place, _BLOCK_BITS).cast("int")
+    return block, place.bitwiseAND((1 << _BLOCK_BITS) - 1).cast("int")
+
+
+def _bit_value(bit: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+
+
+def first_gaps(
+    catalog: DataFrame,
+    items: NumberedItems,
+    n: int,
+    staging: Staging,
+    mask_items: int = MASK_ITEMS,
+) -> DataFrame:
+    """The ``n`` first items of the list that each seller does not list."""
+    if items.size <= mask_items:
+        return _masked_gaps(catalog, items, n)
+    return _first_gaps_by_runs(catalog, items, n, staging)
+
+
+def all_gaps(
+    catalog: DataFrame, items: NumberedItems, staging: Staging, mask_items: int = MASK_ITEMS
+) -> DataFrame:
+    """Every item of the list that each seller does not list."""
+    if items.size <= mask_items:
+        return _masked_gaps(catalog, items, None)
+    return _all_gaps_by_blocks(catalog, items, staging)
+
+
+def _masked_gaps(catalog: DataFrame, items: NumberedItems, n: int | None) -> DataFrame:
+    """One aggregate of constant state per seller; the list is short, so it is broadcast."""
+    block, bit = _place(F.col(POSITION))
+    places = items.rows.select(ITEM, block.alias(_BLOCK), _bit_value(bit).alias(_BIT))
+    listings = catalog.select(SELLER, ITEM).join(F.broadcast(places), ITEM, "left")
+    # A row without a seller lists nothing, as NULL equals nothing.
+    known = F.col(SELLER).isNotNull()
+    masks = [
+        F.coalesce(
+            F.bit_or(F.when(known & (F.col(_BLOCK) == b), F.col(_BIT))), F.lit(0).cast("bigint")
+        )
+        for b in range(_block_count(items))
+    ]
+    sellers = listings.groupBy(SELLER).agg(F.array(*masks).alias("_masks"))
+
+    def is_open(position: Column) -> Column:
+        block, bit = _place(position)
+        return F.bit_get(F.col("_masks")[block], bit) == 0
+
+    last = F.lit(items.size)
+    if n is not None:
+        # The first n open positions lie within the first n plus the listed ones.
+        listed = F.aggregate("_masks", F.lit(n), lambda sum_, mask: sum_ + F.bit_count(mask))
+        last = F.least(last, listed)
+    one = F.lit(1).cast("bigint")
+    positions = F.sequence(one, F.greatest(last.cast("bigint"), one))
+    gaps = F.filter(positions, is_open)
+    if n is not None:
+        gaps = F.slice(gaps, 1, n)
+    found = sellers.select(SELLER, F.explode(gaps).alias(POSITION))
+    return found.join(F.broadcast(items.rows), POSITION).drop(POSITION)
+
+
+def _block_count(items: NumberedItems) -> int:
+    return (max(items.size, 1) - 1 >> _BLOCK_BITS) + 1
 
 
 def _listed(catalog: DataFrame, items: NumberedItems, staging: Staging) -> DataFrame:
@@ -76,12 +148,15 @@ def _listed(catalog: DataFrame, items: NumberedItems, staging: Staging) -> DataF
     return staging.save(listed)
 
 
-def first_gaps(catalog: DataFrame, items: NumberedItems, n: int, staging: Staging) -> DataFrame:
-    """The ``n`` first items of the list that each seller does not list.
+def _first_gaps_by_runs(
+    catalog: DataFrame, items: NumberedItems, n: int, staging: Staging
+) -> DataFrame:
+    """A run of open positions starts at 1 or right after a listed one.
 
-    A run of open positions starts at 1 or right after a listed one. Each run holds at least
-    one open position, so the first ``n`` starts lead to the first ``n`` open positions; from
-    each start at most ``n`` positions are looked at.
+    Each run holds at least one open position, so the first ``n`` starts lead to the first
+    ``n`` open positions; from each start at most ``n`` positions are looked at. Every step is
+    keyed by (seller, position) or keeps ``n`` rows per seller and task, so a seller that lists
+    most of the items is spread like any other.
     """
     listed = _listed(catalog, items, staging)
     pair = [SELLER, POSITION]
@@ -107,30 +182,24 @@ def first_gaps(catalog: DataFrame, items: NumberedItems, n: int, staging: Stagin
     return gaps.select(SELLER, POSITION).join(items.rows, POSITION).drop(POSITION)
 
 
-def all_gaps(catalog: DataFrame, items: NumberedItems, staging: Staging) -> DataFrame:
-    """Every item of the list that each seller does not list.
-
-    A seller's listings in 64 neighbouring positions are the bits of one number, so what is
-    shuffled is one row per seller and block; open items appear only in the output.
-    """
+def _all_gaps_by_blocks(catalog: DataFrame, items: NumberedItems, staging: Staging) -> DataFrame:
+    """A seller's listings in a block are the bits of one number, so what is shuffled is one
+    row per seller and block; open items appear only in the output."""
     listed = _listed(catalog, items, staging)
-    place = F.col(POSITION) - 1
-    block = F.shiftright(place, _BLOCK_BITS).alias(_BLOCK)
-    bit = place.bitwiseAND((1 << _BLOCK_BITS) - 1).cast("int").alias(_BIT)
+    block, bit = _place(F.col(POSITION))
     masks = (
         listed.filter(F.col(POSITION) > 0)
-        .select(SELLER, block, bit)
+        .select(SELLER, block.alias(_BLOCK), _bit_value(bit).alias(_BIT))
         .groupBy(SELLER, _BLOCK)
-        .agg(F.bit_or(F.expr(f"shiftleft(1L, {_BIT})")).alias("_mask"))
+        .agg(F.bit_or(_BIT).alias("_mask"))
     )
-    last_block = max(items.size - 1, 0) >> _BLOCK_BITS
-    blocks = F.sequence(F.lit(0).cast("bigint"), F.lit(last_block).cast("bigint"))
+    blocks = F.sequence(F.lit(0), F.lit(_block_count(items) - 1))
     grid = seller_universe(listed).select(SELLER, F.explode(blocks).alias(_BLOCK))
     attributes = [c for c in items.rows.columns if c != POSITION]
     content = (
-        items.rows.select(block, F.struct(bit, *attributes).alias("_item"))
+        items.rows.select(block.alias(_BLOCK), F.struct(bit.alias(_BIT), *attributes).alias("_item"))
         .groupBy(_BLOCK)
-        .agg(F.collect_list("_item").alias("_items"))
+        .agg(F.collect_list("_item").alias("_items"))  # at most 64
     )
     mask = F.coalesce(F.col("_mask"), F.lit(0).cast("bigint"))
     open_items = F.filter("_items", lambda item: F.bit_get(mask, item[_BIT]) == 0)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,3 +42,35 @@ def merge_latest(
     """
     both = existing.unionByName(incoming, allowMissingColumns=evolve)
     return latest_per_key(both, key, version)
+
+
+def merge_small(
+    existing: DataFrame,
+    incoming: DataFrame,
+    key: Sequence[str],
+    version: str,
+    evolve: bool = False,
+) -> DataFrame:
+    """``merge_latest`` for a keyed table and few incoming rows: the table is not shuffled.
+
+    The incoming rows are broadcast to the table's rows, so the caller has to know that they
+    are few, and the table has to hold one row per key already.
+    """
+    known = existing.limit(0).unionByName(incoming, allowMissingColumns=evolve)
+    newest = latest_per_key(known, key, version)
+    rest = [version, *[c for c in known.columns if c not in key and c != version]]
+    wide = existing.unionByName(incoming.limit(0), allowMissingColumns=evolve)
+    old, new = (df.select(*key, F.struct(*rest).alias("row")) for df in (wide, newest))
+    old, new = old.alias("old"), new.alias("new")
+    same_key = reduce(and_, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in key])
+    newer = F.greatest(F.col("old.row"), F.col("new.row")).alias("row")
+    kept = old.join(F.broadcast(new), same_key, "left").select(
+        *[F.col(f"old.{k}") for k in key], newer
+    )
+    keys = old.select(*key).alias("old")
+    matched = keys.join(F.broadcast(new.select(*key).alias("new")), same_key, "left_semi")
+    added = new.join(matched.alias("old"), same_key, "left_anti")
+    merged = kept.unionByName(added)
+    return merged.select(
+        *[F.col(c) if c in key else F.col(f"row.{c}").alias(c) for c in known.columns]
+    )

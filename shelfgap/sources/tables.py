@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfgap.operators.keyed import latest_per_key, merge_latest
+from shelfgap.operators.keyed import latest_per_key, merge_latest, merge_small
 from shelfgap.sources.staging import Staging
 from shelfgap.specs import DatasetSpec
 
 DEFAULT_FORMAT = "parquet"
+SMALL_DELTA_ROWS = 100_000  # rows that every executor can hold
 
 
 def _options(spec: DatasetSpec, table_format: str) -> dict[str, str]:
@@ -51,13 +52,19 @@ def upsert_table(
     staging: Staging,
     table_format: str = DEFAULT_FORMAT,
     evolve: bool = False,
+    small_delta_rows: int = SMALL_DELTA_ROWS,
 ) -> None:
-    """Merges rows into the table. The merged rows are staged first, as a path cannot be
-    replaced while it is read, and so survive a failed replacement."""
+    """Merges rows into the table, without a shuffle of the table if they are counted as few.
+
+    The merged rows are staged first, as a path cannot be replaced while it is read, and so
+    survive a failed replacement.
+    """
     existing = read_table(staging.spark, path, table_format)
     if table_format == "hudi":
         existing = existing.select(*[c for c in existing.columns if not c.startswith("_hoodie_")])
-    merged = merge_latest(existing, incoming, spec.key, spec.version, evolve)
+    incoming = staging.save(incoming)
+    merge = merge_small if incoming.count() <= small_delta_rows else merge_latest
+    merged = merge(existing, incoming, spec.key, spec.version, evolve)
     _replace(staging.save(merged), path, spec, table_format)
 
 

@@ -1,0 +1,165 @@
+import datetime
+import glob
+
+import pytest
+import yaml
+
+from shelfgap.__main__ import main
+from shelfgap.plans.config import parse_config
+from shelfgap.plans.jobs import run_all, run_recommendation
+from shelfgap.specs import RECOMMENDATION_SCHEMA
+
+CATALOG = """seller_id,item_id,item_name,category,marketplace_price,stock_qty,extra
+ s1 ,i1,red MUG,home,2.5,3,x
+s1,i1,blue mug,home,2.5,3,x
+s1,i2,"pen, black",BOOKS,1.0,,x
+s2,i3,boot,footwear,,1,x
+s2,i4,shoe,footwear,10.0,-1,x
+s3,i5,lamp,home,4.0,2,x
+"""
+COMPANY = """item_id,units_sold,revenue,sale_date
+i1,3,9.0,2024-01-01
+i1,5,8.0,2024-01-02
+i2,12.7,2.0,2024-1-3
+i5,abc,7.0,2024-01-04
+i9,50,50.0,2024-01-05
+i5,2,-1,2999-01-01
+"""
+COMPETITOR = """seller_id,item_id,units_sold,revenue,marketplace_price,sale_date
+c1,i1,4,8.0,2.0,2024-01-01
+c2,i1,2,4.0,4.0,2024-01-01
+c1,i1,8,8.0,2.0,2024-02-01
+c1,u1,9,9.0,1.0,2024-02-01
+c1,,9,9.0,1.0,2024-02-01
+"""
+
+
+@pytest.fixture
+def job(tmp_path):
+    texts = {"seller_catalog": CATALOG, "company_sales": COMPANY, "competitor_sales": COMPETITOR}
+    content = {}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+        content[name] = {
+            "input_path": str(tmp_path / f"{name}.csv"),
+            "hudi_output_path": f"{tmp_path}/processed/{name}_hudi/",
+        }
+    content["recommendation"] = {
+        f"{name}_hudi": section["hudi_output_path"] for name, section in content.items()
+    }
+    content["recommendation"]["output_csv"] = f"{tmp_path}/processed/result_csv/file.csv"
+    return tmp_path, content
+
+
+def result(spark, tmp_path):
+    path = f"{tmp_path}/processed/result_csv"
+    df = spark.read.schema(RECOMMENDATION_SCHEMA).option("header", True).csv(path)
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+WANT = sorted(
+    [
+        ("s1", "i5", "Lamp", "Home", 7.0, 0.0, 0.0),
+        ("s1", "u1", None, None, 1.0, 9.0, 9.0),
+        ("s3", "i1", "Red Mug", "Home", 8.0, 5.0, 40.0),
+        ("s3", "i1", "Red Mug", "Home", 3.0, 5.0, 15.0),
+        ("s3", "i2", "Pen, Black", "Books", 2.0, 12.0, 24.0),
+        ("s3", "u1", None, None, 1.0, 9.0, 9.0),
+    ],
+    key=str,
+)
+
+
+def test_whole_run(spark, job):
+    tmp_path, content = job
+    # The sale dated 2999 would win its key, so the day is the only thing that rejects it.
+    (tmp_path / "company_sales.csv").write_text(COMPANY.replace("2999-01-01", "2023-01-01"))
+    reports = run_all(spark, parse_config(content))
+    catalog = reports["seller_catalog"]
+    assert (catalog.input_rows, catalog.good_rows, catalog.rejected_rows) == (5, 3, 2)
+    assert reports["competitor_sales"].rejected_rows == 1
+    assert result(spark, tmp_path) == WANT
+    quarantine = spark.read.option("header", True).csv(
+        f"{tmp_path}/quarantine/seller_catalog_quarantine"
+    )
+    reasons = {(r.item_id, r.dq_failure_reason) for r in quarantine.collect()}
+    assert reasons == {("i3", "price_negative"), ("i4", "stock_negative")}
+    run_all(spark, parse_config(content))
+    assert result(spark, tmp_path) == WANT
+
+
+def test_rerun_gives_the_same_rows(spark, job):
+    tmp_path, content = job
+    config = parse_config(content)
+    run_all(spark, config)
+    first = result(spark, tmp_path)
+    assert first
+    run_recommendation(spark, config.result, config.options)
+    assert result(spark, tmp_path) == first
+
+
+def test_staging_is_removed(spark, job):
+    tmp_path, content = job
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{shared}/*"))
+    run_all(spark, parse_config(content))
+    assert set(glob.glob(f"{shared}/*")) == before
+
+
+def test_no_good_rows_leave_the_table_alone(spark, job):
+    tmp_path, content = job
+    run_all(spark, parse_config(content))
+    (tmp_path / "company_sales.csv").write_text(COMPANY.split("\n")[0] + "\n")
+    reports = run_all(spark, parse_config(content))
+    assert reports["company_sales"].input_rows == 0
+    table = f"{tmp_path}/processed/company_sales_hudi"
+    assert spark.read.parquet(table).count() > 0
+
+
+def test_options(spark, job):
+    tmp_path, content = job
+    for name in ("seller_catalog", "company_sales", "competitor_sales"):
+        content[name]["bronze_path"] = f"{tmp_path}/bronze/{name}"
+    content["options"] = {
+        "price_basis": "unit",
+        "keep_raw": True,
+        "write": "upsert",
+        "dates": "strict",
+        "as_of": "2024-01-31",
+    }
+    config = parse_config(content)
+    reports = run_all(spark, config)
+    assert reports["company_sales"].rejected_rows == 2  # unpadded date, date in the future
+    assert reports["competitor_sales"].rejected_rows == 3
+    assert spark.read.parquet(f"{tmp_path}/bronze/seller_catalog").count() == 6
+    quarantine = spark.read.option("header", True).csv(
+        f"{tmp_path}/quarantine/company_sales_quarantine"
+    )
+    assert "raw_sale_date" in quarantine.columns
+    # A later delivery is merged into the table.
+    (tmp_path / "company_sales.csv").write_text(
+        "item_id,units_sold,revenue,sale_date\ni1,9,1.0,2024-01-20\nnew,1,1.0,2024-01-20\n"
+    )
+    run_all(spark, config)
+    table = spark.read.parquet(f"{tmp_path}/processed/company_sales_hudi")
+    got = {(r.item_id, r.units_sold, r.sale_date) for r in table.collect()}
+    day = datetime.date(2024, 1, 20)
+    assert {("i1", 9, day), ("new", 1, day)} <= got and len(got) == 3
+
+
+def test_command_line(spark, job, capsys):
+    tmp_path, content = job
+    path = tmp_path / "job.yml"
+    path.write_text(yaml.safe_dump(content))
+    for step in ("seller_catalog", "company_sales", "competitor_sales", "recommendation"):
+        main(["--config", str(path), "--job", step, "--preview"])
+    printed = capsys.readouterr().out
+    assert "company_sales: IngestReport(" in printed
+    assert result(spark, tmp_path)
+
+
+def test_missing_input_fails(spark, job):
+    tmp_path, content = job
+    content["company_sales"]["input_path"] = str(tmp_path / "absent.csv")
+    with pytest.raises(Exception, match="absent"):
+        run_all(spark, parse_config(content))
