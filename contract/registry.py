@@ -149,7 +149,8 @@ def dedup_company_sales(src: Source) -> DataFrame:
 
 
 def _split(src: Source, spec: DatasetSpec, null_policy: str = "reject"):
-    return split(_cleaned(src, spec), spec.rules, null_policy=null_policy)
+    keyed = spec.one_row_per_key_before_rules
+    return split(_cleaned(src, spec), spec.rules, null_policy=null_policy, distinct_rows=keyed)
 
 
 @query

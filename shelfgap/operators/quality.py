@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -14,8 +12,9 @@ from pyspark.sql import functions as F
 from shelfgap.specs import Rule
 
 REASON = "dq_failure_reason"
-_PASSED = "_dq_passed"
 _FAILED = "_dq_failed"
+_HELD = ""
+_UNJUDGED = "?"
 
 
 class Split(NamedTuple):
@@ -27,13 +26,21 @@ def _day(as_of: datetime.date | str | None) -> Column:
     return F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
 
 
+def _outcome(rule: Rule, day: Column, null_policy: str) -> Column:
+    holds = rule.holds(day)
+    if null_policy == "reject":
+        return F.when(holds, F.lit(_HELD)).otherwise(F.lit(rule.reason))
+    failed = F.when(~holds, F.lit(rule.reason)).otherwise(F.lit(_UNJUDGED))
+    return F.when(holds, F.lit(_HELD)).otherwise(failed)
+
+
 def judge(
     df: DataFrame,
     rules: Sequence[Rule],
     as_of: datetime.date | str | None = None,
     null_policy: str = "reject",
 ) -> DataFrame:
-    """Each row with its verdict and the reasons of the rules it fails.
+    """Each row with the reasons of the rules it fails.
 
     A rule over a NULL value is neither true nor false. ``reject`` counts it as failed;
     ``ignore`` counts it as neither, and such a row can then miss both outputs.
@@ -41,22 +48,25 @@ def judge(
     if null_policy not in ("reject", "ignore"):
         raise ValueError(f"null policy must be 'reject' or 'ignore', not {null_policy!r}")
     day = _day(as_of)
-    checks = [(rule.reason, rule.holds(day)) for rule in rules]
-    if null_policy == "reject":
-        checks = [(reason, F.coalesce(holds, F.lit(False))) for reason, holds in checks]
-    passed = reduce(and_, [holds for _, holds in checks], F.lit(True))
-    failed = F.array_compact(F.array(*[F.when(~holds, F.lit(r)) for r, holds in checks]))
-    return df.withColumns({_PASSED: F.coalesce(passed, F.lit(False)), _FAILED: failed})
+    outcomes = F.array(*[_outcome(rule, day, null_policy) for rule in rules])
+    return df.withColumn(_FAILED, F.array_remove(outcomes, _HELD))
+
+
+# Both outputs filter on the exploded reason. A filter on the list itself would be pushed below
+# the parsing of the columns and parse each of them a second time.
 
 
 def accepted(judged: DataFrame) -> DataFrame:
-    return judged.filter(_PASSED).drop(_PASSED, _FAILED)
+    exploded = judged.withColumn(REASON, F.explode_outer(_FAILED))
+    return exploded.filter(F.col(REASON).isNull()).drop(_FAILED, REASON)
 
 
-def rejected(judged: DataFrame) -> DataFrame:
-    """One row per failed rule, exact repeats removed."""
-    reasons = judged.filter(F.size(_FAILED) > 0).withColumn(REASON, F.explode(_FAILED))
-    return reasons.drop(_PASSED, _FAILED).distinct()
+def rejected(judged: DataFrame, distinct_rows: bool = False) -> DataFrame:
+    """One row per failed rule; exact repeats are removed unless there are known to be none."""
+    reasons = F.explode_outer(F.array_remove(_FAILED, _UNJUDGED))
+    failures = judged.withColumn(REASON, reasons).filter(F.col(REASON).isNotNull())
+    failures = failures.drop(_FAILED)
+    return failures if distinct_rows else failures.distinct()
 
 
 def split(
@@ -64,18 +74,20 @@ def split(
     rules: Sequence[Rule],
     as_of: datetime.date | str | None = None,
     null_policy: str = "reject",
+    distinct_rows: bool = False,
 ) -> Split:
     judged = judge(df, rules, as_of, null_policy)
-    return Split(accepted(judged), rejected(judged))
+    return Split(accepted(judged), rejected(judged, distinct_rows))
 
 
 def quality_metrics(judged: DataFrame) -> DataFrame:
     """One row of counts; ``failed_rules`` counts a row once per rule it fails."""
-    failed = F.size(_FAILED)
+    doubts = F.size(_FAILED)
+    failed = F.size(F.array_remove(_FAILED, _UNJUDGED))
     return judged.agg(
         F.count(F.lit(1)).alias("input_rows"),
-        F.count_if(F.col(_PASSED)).alias("good_rows"),
+        F.count_if(doubts == 0).alias("good_rows"),
         F.count_if(failed > 0).alias("rejected_rows"),
-        F.count_if(~F.col(_PASSED) & (failed == 0)).alias("unjudged_rows"),
+        F.count_if((doubts > 0) & (failed == 0)).alias("unjudged_rows"),
         F.coalesce(F.sum(failed), F.lit(0)).cast("bigint").alias("failed_rules"),
     )

@@ -71,7 +71,8 @@ def ingest(
                 )
             else:
                 write_table(good, paths.table, spec, options.table_format)
-        write_text(flat_quarantine(rejected(judged)), paths.quarantine)
+        bad = rejected(judged, distinct_rows=spec.one_row_per_key_before_rules)
+        write_text(flat_quarantine(bad), paths.quarantine)
     return report
 
 

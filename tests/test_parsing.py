@@ -46,6 +46,10 @@ INTS = [
     ("", None),
     ("-", None),
     ("1.2.3", None),
+    ("\t12.7\n", 12),
+    ("1-.5", None),
+    ("1.-5", None),
+    ("-.", 0),
     ("3000000000", None),
     ("99999999999999999999999999999999999999999999.5", None),
     (None, None),
@@ -85,6 +89,14 @@ DATES = [
     ("24-01-05", datetime.date(24, 1, 5), None),
     ("2024-02-30", None, None),
     ("05-01-2024", None, None),
+    ("2024-01", None, None),
+    ("2024", None, None),
+    ("+2024-01-05", None, None),
+    ("-2024-01-05", None, None),
+    ("2024-01-05T10:00", DAY, None),
+    ("2024-01-05-07", DAY, None),
+    ("2024-001-05", DAY, None),
+    ("2024-01-055", None, None),
     ("bad", None, None),
     ("", None, None),
     (None, None, None),
