@@ -391,13 +391,14 @@ def parquet_round_trip(src: Source) -> DataFrame:
 
 @query
 def cleaned_recommendations(src: Source) -> DataFrame:
-    """Raw text to recommendations without files in between."""
+    """Raw text to recommendations, by staged tables."""
+    staging = Staging(src.spark)
     competitor = _split(src, COMPETITOR_SALES).good
     return jobs.recommendations(
-        _split(src, SELLER_CATALOG).good,
+        staging.save(_split(src, SELLER_CATALOG).good),
         _split(src, COMPANY_SALES).good,
         latest_per_key(competitor, COMPETITOR_SALES.key, COMPETITOR_SALES.version),
-        Staging(src.spark),
+        staging,
     )
 
 

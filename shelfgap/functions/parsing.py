@@ -33,12 +33,10 @@ def title_case(text: Column) -> Column:
 
 def canonical_label(text: Column, labels: Mapping[str, str]) -> Column:
     """The label whose upper-case key equals the text, else the text in title case."""
-    folded = F.upper(text)
-    chain = None
-    for key, label in labels.items():
-        hit = folded == F.lit(key)
-        chain = F.when(hit, F.lit(label)) if chain is None else chain.when(hit, F.lit(label))
-    return title_case(text) if chain is None else chain.otherwise(title_case(text))
+    if not labels:
+        return title_case(text)
+    known = F.create_map(*[F.lit(part) for entry in labels.items() for part in entry])
+    return F.coalesce(F.try_element_at(known, F.upper(text)), title_case(text))
 
 
 def to_int(text: Column) -> Column:
