@@ -19,9 +19,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from contract.registry import REGISTRY  # noqa: E402
 
 HEADLINE = [
-    "recommendations",
-    "recommendations_unit_price",
-    "cleaned_recommendations",
     "clean_catalog",
     "clean_company_sales",
     "clean_competitor_sales",
@@ -36,6 +33,9 @@ HEADLINE = [
     "company_top_items",
     "competitor_top_items",
     "all_scored_candidates",
+    "cleaned_recommendations",
+    "recommendations",
+    "recommendations_unit_price",
 ]
 
 
@@ -64,7 +64,7 @@ def seconds(spark: SparkSession, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = session(cpus)
     times = {}
     for name in HEADLINE:

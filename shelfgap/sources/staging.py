@@ -31,7 +31,11 @@ def _shared_root(spark: SparkSession) -> str:
 
 
 class Staging:
-    """A folder of its own under the shared one; as a context manager it removes it at the end."""
+    """A folder of its own under the shared one.
+
+    As a context manager it removes the folder at the end; otherwise the owner of a lazy result
+    calls ``clear`` once the result has been written.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shelfgap.operators.keyed import latest_per_key, merge_latest, merge_small
 from shelfgap.operators.ranking import top_n_per_group
 from shelfgap.sources.staging import Staging
-from shelfgap.sources.tables import read_table, upsert_table, write_table
+from shelfgap.sources.tables import _options, read_table, upsert_table, write_table
 from shelfgap.specs import COMPETITOR_SALES
 
 SCHEMA = "seller_id string, item_id string, sale_date int, units int"
@@ -101,3 +101,10 @@ def test_top_n_ties_and_nulls(spark):
     assert rows(got.select("seller_id", "item_id", "rank")) == sorted(
         [("g", "i1", 1), ("g", "i2", 2), (None, "y", 1), (None, "x", 2)], key=str
     )
+
+
+def test_key_settings_of_the_table_format():
+    assert _options(COMPETITOR_SALES, "parquet") == {}
+    settings = _options(COMPETITOR_SALES, "hudi")
+    assert settings["hoodie.datasource.write.recordkey.field"] == "seller_id,item_id"
+    assert settings["hoodie.datasource.write.precombine.field"] == "sale_date"

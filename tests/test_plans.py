@@ -8,7 +8,7 @@ import __spark_entry__ as contract
 from contract.views import Source
 from shelfgap.operators import toplists
 from shelfgap.operators.cleaning import typed
-from shelfgap.operators.keyed import latest_per_key
+from shelfgap.operators.keyed import latest_per_key, merge_small
 from shelfgap.operators.quality import split
 from shelfgap.specs import COMPETITOR_SALES
 
@@ -72,3 +72,17 @@ def test_recommendations_shuffle_one_row_per_seller_and_task(spark):
     assert "partial_bit_or" in text
     assert count("BroadcastHashJoin", text) >= 2
     assert "SortMergeJoin" not in text
+
+
+def test_small_upsert_does_not_shuffle_the_table(spark, src, tmp_path):
+    path = str(tmp_path / "table")
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    src.table("lineitem").dropDuplicates(key).write.parquet(path)
+    existing = spark.read.parquet(path)
+    incoming = existing.limit(20)
+    text = plan(merge_small(existing, incoming, key, "l_shipdate"))
+    # The rows of the table meet the incoming ones where they are scanned.
+    kept = text.split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in kept and "LeftOuter" in kept
+    assert "Exchange" not in kept.replace("BroadcastExchange", "")
+    assert "SortMergeJoin" not in kept
