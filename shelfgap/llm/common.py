@@ -48,3 +48,10 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """Bytes of all texts, from one scan."""
     row = docs.agg(F.sum(F.octet_length(F.col(text)).cast("long")).alias("n")).first()
     return row["n"] or 0
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table of the shared folder."""
+    path = new_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfgap.llm import records
+from shelfgap.llm import mixing, records, urls
 from shelfgap.llm.common import new_dir
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +28,29 @@ def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.tokenized_digests(spark, docs, new_dir(spark, "records"), tokenizer_path())
 
 
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix with source weights 3, 1, 2 in turn takes of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.taken_words(docs, weights=(3, 1, 2), share=1.5, most=2.0)
+
+
+URL_RULES = [  # action, host, path
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page."""
+    rules = urls.rules_table(spark, URL_RULES)
+    return urls.judge_pages(table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_records": op3_token_records,
+    "op8_source_mix": op8_source_mix,
+    "op10_url_verdicts": op10_url_verdicts,
 }
