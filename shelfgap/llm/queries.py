@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfgap.llm import mixing, records, urls
+from shelfgap.llm import fingerprints, mixing, records, urls
 from shelfgap.llm.common import new_dir
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -34,6 +34,11 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(docs, weights=(3, 1, 2), share=1.5, most=2.0)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every document and of its edited text, and documents within radius 3."""
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"), radius=3, every=50)
+
+
 URL_RULES = [  # action, host, path
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),
@@ -52,5 +57,6 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_records": op3_token_records,
     "op8_source_mix": op8_source_mix,
+    "op9_simhash": op9_simhash,
     "op10_url_verdicts": op10_url_verdicts,
 }
