@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfgap.llm import chat, fingerprints, mixing, records, urls
+from shelfgap.llm import chat, fingerprints, language, mixing, records, urls
 from shelfgap.llm.common import new_dir, staged
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -41,6 +41,11 @@ def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.window_digests(windows)
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four fifths of them."""
+    return language.predict_documents(table(spark, sf_dir, "documents"), docs_per_language=5_000)
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix with source weights 3, 1, 2 in turn takes of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -70,6 +75,7 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_records": op3_token_records,
     "op5_chat_windows": op5_chat_windows,
+    "op6_language": op6_language,
     "op8_source_mix": op8_source_mix,
     "op9_simhash": op9_simhash,
     "op10_url_verdicts": op10_url_verdicts,
