@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfgap.llm import chat, fingerprints, language, mixing, records, urls
+from shelfgap.llm import chat, fingerprints, language, mixing, quality, records, urls
 from shelfgap.llm.common import new_dir, staged
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +28,13 @@ def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.tokenized_digests(spark, docs, new_dir(spark, "records"), tokenizer_path())
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from four fifths of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), docs_per_class=8_000)
+    return quality.score_documents(docs, model, threshold=0.3)
+
+
 HOSTILE_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -74,6 +81,7 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_records": op3_token_records,
+    "op4_quality": op4_quality,
     "op5_chat_windows": op5_chat_windows,
     "op6_language": op6_language,
     "op8_source_mix": op8_source_mix,
