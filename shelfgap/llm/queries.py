@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfgap.llm import chat, fingerprints, language, mixing, quality, records, urls
+from shelfgap.llm import chat, decontaminate, fingerprints, language, mixing, quality, records, urls
 from shelfgap.llm.common import new_dir, staged
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of benchmark items in documents."""
+    docs = table(spark, sf_dir, "documents")
+    return decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as binary records and read back."""
     docs = table(spark, sf_dir, "documents")
@@ -80,6 +86,7 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op3_token_records": op3_token_records,
     "op4_quality": op4_quality,
     "op5_chat_windows": op5_chat_windows,
