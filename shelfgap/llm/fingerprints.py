@@ -170,7 +170,7 @@ def edited_fingerprints(docs: DataFrame, radius: int = 3, every: int = 50, text:
     heads = staged(rows.join(tops, at_top).groupBy("bucket").agg(F.max("text").alias("head")), "heads")
 
     rows = rows.withColumn("row", rank).withColumn("following", F.lead("text").over(order))
-    after = F.broadcast(_next_heads(heads))  # one row per bucket
+    after = _next_heads(heads)
     rows = rows.join(after, F.col("bucket") == F.col("of"), "left")
     following = F.coalesce("following", "head")
     n_chars = F.char_length("text")
