@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfgap.llm import chat, decontaminate, fingerprints, language, mixing, quality, records, urls
+from shelfgap.llm import chat, decontaminate, fingerprints, language, mixing, quality, records, simhash_tiles, urls
 from shelfgap.llm.common import new_dir, staged
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -59,6 +59,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_documents(table(spark, sf_dir, "documents"), docs_per_language=5_000)
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 64-bit SimHash of 4-word shingles differs in 4 bits or less."""
+    return simhash_tiles.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix with source weights 3, 1, 2 in turn takes of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_chat_windows": op5_chat_windows,
     "op6_language": op6_language,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_source_mix": op8_source_mix,
     "op9_simhash": op9_simhash,
     "op10_url_verdicts": op10_url_verdicts,
