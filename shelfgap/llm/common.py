@@ -55,3 +55,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = new_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfgap.llm import chat, decontaminate, fingerprints, language, mixing, quality, records, simhash_tiles, urls
+from shelfgap.llm import chat, decontaminate, fingerprints, language, mixing, quality, records, simhash_tiles, substring, urls
 from shelfgap.llm.common import new_dir, staged
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +29,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 20 words or more that an earlier place has."""
+    kept = substring.drop_repeats(table(spark, sf_dir, "documents"), min_words=20)
+    digest = F.sha2("kept_text", 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_words", "n_removed", digest)
+
+
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as binary records and read back."""
     docs = table(spark, sf_dir, "documents")
@@ -92,6 +100,7 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_token_records": op3_token_records,
     "op4_quality": op4_quality,
     "op5_chat_windows": op5_chat_windows,
