@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfgap.llm.common import free_name
+
 # Each length of 14 to 20 tokens with a fifth of them substituted has a hit of one of these.
 MASKS = ("11111", "110111", "111101")
 MIN_TOKENS = 8  # shorter items are no passages
@@ -223,5 +225,6 @@ def overlaps(
 def clean_documents(docs: DataFrame, test: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose doc_id has no overlap with a test item. Rows that share a doc_id
     go or stay together; rows without a doc_id go if any of them overlaps."""
-    bad = overlaps(docs, test, text).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    bad = free_name(docs, "bad")
+    found = overlaps(docs, test, text).select(F.col("doc_id").alias(bad)).distinct()
+    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(bad)), "left_anti")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfgap.llm.common import remainder
+from shelfgap.llm.common import free_name, remainder
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15  # of hashed n-grams
@@ -279,8 +279,10 @@ def identify(
     penalty: float = SWITCH_PENALTY,
     text: str = "text",
     with_spans: bool = False,
+    names: tuple[str, str, str] = ("lang_pred", "score", "lang_spans"),
 ) -> DataFrame:
-    """The columns of ``docs`` with lang_pred and score, and ``lang_spans`` if asked for.
+    """The columns of ``docs`` with lang_pred and score, and ``lang_spans`` if asked for, or by
+    whatever names are given.
 
     The language is the one whose spans have most letters, the score their share; for a text of
     one language the probability of it against the next best. A text without letters, NULL
@@ -289,10 +291,10 @@ def identify(
     their length, and columns named like the new ones are replaced. Only ``text`` is looked at.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x buckets, of fixed size
-    fields = [pa.field("lang_pred", pa.string()), pa.field("score", pa.float64())]
+    fields = [pa.field(names[0], pa.string()), pa.field(names[1], pa.float64())]
     if with_spans:
         span = pa.struct([("first", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
-        fields.append(pa.field("lang_spans", pa.list_(span)))
+        fields.append(pa.field(names[2], pa.list_(span)))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordScores(sent.value)
@@ -313,17 +315,16 @@ def identify(
             if with_spans:
                 rows = [[{"first": a, "end": b, "lang": c} for a, b, c in x[2]] for x in found]
                 columns.append(pa.array(rows, fields[2].type))
-            new = {f.name for f in fields}
-            old = [k for k, n in enumerate(batch.schema.names) if k and n not in new]
+            old = range(1, batch.num_columns)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(k) for k in old], *columns],
                 schema=pa.schema([*[batch.schema.field(k) for k in old], *fields]),
             )
 
     kept = [c for c in docs.columns if c not in {f.name for f in fields}]
-    schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
+    schema = docs.select(*kept).schema.add(names[0], "string").add(names[1], "double")
     if with_spans:
-        schema = schema.add("lang_spans", SPANS)
+        schema = schema.add(names[2], SPANS)
     source = docs.select(F.col(text).cast("binary").alias("_text_bytes"), *kept)
     return source.mapInArrow(label, schema)
 
@@ -335,3 +336,15 @@ def predict_documents(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAG
     rows = rows.select("doc_id", held_out.alias("held_out"), "text")
     found = identify(rows.select("doc_id", "held_out", "text"), fit(docs, docs_per_language))
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def keep_known(docs: DataFrame, least: float = 0.5, docs_per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
+    """The rows of ``docs`` whose text is of one learned language: not ``und``, and with a score of
+    ``least`` or more. If nothing can be learned, because no row has a language, all texts with a
+    letter stay."""
+    model = fit(docs, docs_per_language)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    lang, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
+    found = identify(docs, model, names=(lang, score, free_name(docs, "lang_spans")))
+    return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).select(*docs.columns)

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfgap.llm.common import n_words, staged
+from shelfgap.llm.common import free_name, n_words, staged
 
 GOLDEN = 0.6180339887498949  # fractional part of the golden ratio
 BLOCK_WORDS = 4096
@@ -31,13 +31,15 @@ def _before(partition: Sequence[str], order: str) -> Window:
     return spec.orderBy(F.col(order).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def sized(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, source, size in words (0 for a NULL text) and the key that shuffles a source."""
+def sized(docs: DataFrame, text: str = "text", *more: Column) -> DataFrame:
+    """doc_id, source, size in words (0 for a NULL text), the key that shuffles a source, and more
+    columns that tell rows apart."""
     return docs.select(
         F.col("doc_id"),
         F.col("source"),
         n_words(F.col(text)).alias("size"),
-        F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("")).alias("key"),
+        F.coalesce(F.md5(F.col("doc_id").cast("string").cast("binary")), F.lit("")).alias("key"),
+        *more,
     )
 
 
@@ -127,7 +129,8 @@ def _streams(sizes: DataFrame, sources: DataFrame) -> DataFrame:
         F.col("chunk").alias("in_chunk"),
         F.coalesce(F.sum("n").over(_before(["source"], "chunk")), F.lit(0)).alias("base"),
     )
-    order = Window.partitionBy("source", "chunk").orderBy("key", F.col("doc_id").asc_nulls_last(), "size")
+    rest = [F.col(c).asc_nulls_last() for c in sizes.columns if c not in ("source", "key")]
+    order = Window.partitionBy("source", "chunk").orderBy("key", *rest)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("within", F.coalesce(F.sum("size").over(before), F.lit(0)))
     rows = rows.withColumn("row", F.row_number().over(order))
@@ -186,7 +189,7 @@ def mixture(
     key = ["source", "chunk", "row"]
     taken = taken.select(*[F.col(c).alias(f"_{c}") for c in key], "slot", "pass", "from_word", "words")
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
-    return rows.drop("key", "base", "within", "first").join(taken, same, "left").drop(
+    return rows.drop("base", "within", "first").join(taken, same, "left").drop(
         *[f"_{c}" for c in key]
     )
 
@@ -215,3 +218,41 @@ def taken_words(
         F.first("target").alias("target"),
         F.coalesce(F.sum("words"), F.lit(0)).alias("taken"),
     ).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed_documents(
+    docs: DataFrame,
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    most: float = 2.0,
+    block_words: int = BLOCK_WORDS,
+    text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes its words, rounded to whole times.
+
+    Texts without words are in no block and go. Equal rows may come a different number of times.
+    All columns are kept.
+    """
+    of, nth, times = (free_name(docs, n) for n in ("text_hash", "nth", "times"))
+    alike = Window.partitionBy("doc_id", "source", of).orderBy(of)
+    rows = docs.withColumn(of, F.xxhash64(text)).withColumn(nth, F.row_number().over(alike))
+    sizes = sized(docs, text, F.xxhash64(text).alias("text_hash"))
+    alike = Window.partitionBy("doc_id", "source", "text_hash").orderBy("text_hash")
+    sizes = staged(sizes.withColumn("nth", F.row_number().over(alike)), "sizes")
+    pieces = mixture(sizes, weights, share, most, block_words)
+    taken = pieces.groupBy("source", "chunk", "row").agg(
+        *[F.first(c).alias(c) for c in ("doc_id", "text_hash", "nth", "size")], F.sum("words").alias("n")
+    )
+    copies = F.round(F.col("n") / F.greatest("size", F.lit(1))).cast("int")
+    names = {c: free_name(rows, f"mix_{c}") for c in ("doc_id", "source", "text_hash", "nth")}
+    taken = taken.where(copies > 0).select(
+        *[F.col(c).alias(n) for c, n in names.items()], copies.alias(times)
+    )
+    same = [
+        F.col("doc_id").eqNullSafe(F.col(names["doc_id"])),
+        F.col("source").eqNullSafe(F.col(names["source"])),
+        F.col(of) == F.col(names["text_hash"]),
+        F.col(nth) == F.col(names["nth"]),
+    ]
+    many = rows.join(taken, same).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return many.select(*docs.columns)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfgap.llm.common import staged
+from shelfgap.llm.common import free_name, staged
 from shelfgap.llm.components import connected_components
 
 SEED = 42
@@ -269,8 +269,9 @@ def drop_near_duplicates(
     found = prints.join(components(prints, radius, words, first_radius), "fingerprint")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     kept = found.groupBy("component").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_hash")
-    rows = docs.withColumn("_hash", F.xxhash64(text))
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of"))
-    one = rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_hash"])
-    return one.drop("_hash")
+    hashed = free_name(docs, "hash")
+    rows = docs.withColumn(hashed, F.xxhash64(text))
+    doc_id, of = free_name(rows, "kept_id"), free_name(rows, "kept_hash")
+    kept = kept.select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(of)).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (F.col(hashed) == F.col(of))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", hashed]).drop(hashed)
