@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -115,21 +116,23 @@ def fit(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: dict[str, np.ndarray] = {}
-        known: dict[bytes, tuple[list[int], int, int]] = {}
         for batch in batches:
-            for lang, words in zip(batch.column(0).to_pylist(), _texts(batch.column(1))):
+            words: dict[str, Counter] = {}
+            for lang, split in zip(batch.column(0).to_pylist(), _texts(batch.column(1))):
+                words.setdefault(lang, Counter()).update(split)
+            for lang, counts in words.items():
                 tally = grams.setdefault(lang, np.zeros(BUCKETS + len(SCRIPTS), np.int64))
-                found: list[int] = []
-                for word in words:
-                    if word not in known:
-                        if len(known) > 200_000:
-                            known.clear()
-                        letters = letters_of(word)
-                        known[word] = (grams_of(letters) if letters else [], script_of(letters), len(letters))
-                    buckets, script, n = known[word]
-                    found += buckets
-                    tally[BUCKETS + script] += n
-                tally[:BUCKETS] += np.bincount(np.array(found, np.int64), minlength=BUCKETS)
+                buckets: list[int] = []
+                times: list[int] = []
+                for word, n in counts.items():
+                    letters = letters_of(word)
+                    if letters:
+                        found = grams_of(letters)
+                        buckets += found
+                        times += [n] * len(found)
+                        tally[BUCKETS + script_of(letters)] += n * len(letters)
+                if buckets:
+                    tally[:BUCKETS] += np.bincount(buckets, times, BUCKETS).astype(np.int64)
         for lang, tally in grams.items():
             at = np.flatnonzero(tally)
             yield pa.RecordBatch.from_arrays(
