@@ -2,8 +2,8 @@
 
 A seed is the hash of the tokens that a fixed mask keeps at one position; the ignored ones may
 differ. Seeds of the test items meet seeds of the documents. Around each hit both texts are laid
-side by side, and the stretch with the most agreement decides, so substituted tokens do not hide a
-passage.
+side by side, and the longest stretch of good agreement decides, so substituted tokens do not hide
+a passage.
 
 Tokens are the letters and digits of words in lower case; words without any are skipped.
 """
@@ -118,15 +118,22 @@ class SeedIndex:
 
 
 def best_stretch(item: np.ndarray, tokens: np.ndarray, shift: int) -> tuple[int, int, int]:
-    """Matches, first and end token (of ``tokens``) of the aligned stretch with the greatest
-    matches - MISMATCH x mismatches."""
+    """Matches, first and end token (of ``tokens``) of the aligned stretch with the most matches
+    among those in which at least four fifths agree; the first of equal ones."""
     first, end = max(0, shift), min(len(tokens), shift + len(item))
     equal = tokens[first:end] == item[first - shift : end - shift]
+    matches = np.concatenate([[0], np.cumsum(equal)])
     sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, -MISMATCH))])
+    # From the earliest place whose sum is no greater to each end.
     low = np.minimum.accumulate(sums)
-    stop = int((sums - low).argmax())
-    start = int(np.flatnonzero(sums[: stop + 1] == low[stop])[-1])
-    return int(equal[start:stop].sum()), first + start, first + stop
+    starts = np.searchsorted(-low, -sums, "left")
+    stop = int((matches - matches[starts]).argmax())
+    start = int(starts[stop])
+    while start < stop and not equal[start]:
+        start += 1
+    while start < stop and not equal[stop - 1]:
+        stop -= 1
+    return int(matches[stop] - matches[start]), first + start, first + stop
 
 
 def overlaps_of(tokens: np.ndarray, index: SeedIndex) -> list[tuple[int, int, int, int]]:

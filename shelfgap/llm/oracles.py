@@ -2,4 +2,81 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
+
+# Positions in a stream and the common level of targets are the operator's definitions; the
+# schedule does not show in the words taken, so it is not repeated here.
+_MIX = f"""
+with sizes as (
+  select doc_id, source, cast({_WORDS} as bigint) as size,
+    coalesce(md5(cast(doc_id as varchar)), '') as k
+  from documents),
+numbered as (
+  select source, source_size, 2.0 * source_size as cap,
+    case (row_number() over (order by source nulls last) - 1) % 3
+      when 0 then 3.0 when 1 then 1.0 else 2.0 end::double as weight
+  from (select source, cast(sum(size) as bigint) as source_size from sizes group by source) s),
+levels as (
+  select *, (cast(sum(source_size) over () as double) * 1.5 - coalesce(sum(cap) over (
+      order by cap / weight, source nulls last rows between unbounded preceding and 1 preceding), 0.0))
+    / sum(weight) over (order by cap / weight, source nulls last
+      rows between current row and unbounded following) as level
+  from numbered),
+targets as (
+  select source, source_size, least(cap, coalesce(weight * max(case when level <= cap / weight
+    then level end) over (), cap)) as target
+  from levels),
+placed as (
+  select s.*, source_size, target, cast(floor(target) as bigint) as wanted,
+    cast(sum(size) over (partition by s.source order by k, doc_id nulls last, size
+      rows between unbounded preceding and current row) as bigint) - size as first
+  from sizes s join targets t on s.source is not distinct from t.source)
+select doc_id, size, source_size, target,
+  cast(greatest(0, least(first + size, wanted) - first)
+    + greatest(0, least(source_size + first + size, wanted) - source_size - first) as bigint) as taken
+from placed
+"""
+
+_AFTER = "substr(url, strpos(url, '://') + 3)"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_HOST = f"""case when contains(url, '://')
+  then translate(regexp_extract({_AFTER}, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') else '' end"""
+_PATH = f"case when contains(url, '://') then regexp_extract({_AFTER}, '^[^/?#]*([^?#]*)', 1) else '' end"
+_QUERY = f"regexp_extract({_AFTER}, '^[^?#]*\\?([^#]*)', 1)"
+_KEPT = (
+    f"list_filter(string_split({_QUERY}, '&'), lambda x: x <> '' and not "
+    "regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))"
+)
+
+# The given pages hold no canonical links and no redirects (a page that did would make a row
+# here fail), so aliases are the spellings of one URL.
+_URLS = f"""
+with pages2 as (
+  select page_id, url, {_HOST} as host, {_PATH} as path,
+    case when contains(url, '://') then {_KEPT} end as kept,
+    case when regexp_matches(coalesce(html, ''), '(?i)<(link|meta)\\b[^>]*(canonical|http-equiv)')
+      then error('links are not expressed here') end as links
+  from pages),
+keyed as (
+  select *, case when contains(url, '://') then
+      regexp_replace(regexp_replace(host, '^(www|m)\\.', ''), ':(80|443)$', '')
+      || regexp_replace(path, '(/index\\.html|\\.html|/)$', '')
+      || case when len(kept) > 0 then '?' || array_to_string(kept, '&') else '' end
+    else url end as node
+  from pages2),
+rules(action, site, prefix) as (values ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+  ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fitting as (
+  select distinct k.url, r.site || r.prefix as rule, r.action
+  from keyed k join rules r on (k.host = r.site or ends_with(k.host, '.' || r.site))
+    and starts_with(k.path, r.prefix)),
+decided as (
+  select url, rule, action from (select *, row_number() over (partition by url
+    order by length(rule) desc, action, rule desc) as rn from fitting) f where rn = 1),
+classes as (
+  select node, min(action) as spread from keyed join decided using (url) group by node)
+select page_id, host, path, rule, coalesce(action, spread, 'allow') as verdict
+from keyed k left join decided d on k.url = d.url left join classes c on k.node = c.node
+"""
+
+ORACLES: dict[str, str] = {"op8_source_mix": _MIX, "op10_url_verdicts": _URLS}
