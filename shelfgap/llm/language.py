@@ -9,9 +9,6 @@ penalty, cuts the text into spans of one language each.
 
 from __future__ import annotations
 
-import re
-import zlib
-from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,11 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfgap.llm.common import free_name, remainder
 
 UNKNOWN = "und"
-BUCKETS = 1 << 15  # of hashed n-grams
+BUCKET_BITS = 15
+BUCKETS = 1 << BUCKET_BITS  # of hashed n-grams
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.1
 DOCS_PER_LANGUAGE = 5_000  # bound of the training sample
@@ -50,32 +49,69 @@ SCRIPT_RANGES = [
 _STARTS = [start for start, _ in SCRIPT_RANGES]
 SCRIPTS = sorted({name for _, name in SCRIPT_RANGES})
 _SCRIPT_OF_RANGE = [SCRIPTS.index(name) for _, name in SCRIPT_RANGES]
-_LETTERS = re.compile(r"[^\W\d_]+")
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+_BEGIN, _END, _BETWEEN = ord("<"), ord(">"), ord("\n")
+_letters = np.zeros(0, bool)
 
 
-def letters_of(word: bytes) -> str:
-    """The letters of a word in lower case."""
-    return "".join(_LETTERS.findall(word.decode("utf-8", "replace"))).lower()
+def _is_letter() -> np.ndarray:
+    """A flag for every code point."""
+    global _letters
+    if not len(_letters):
+        _letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    return _letters
 
 
-def script_of(letters: str) -> int:
-    """The script that most of the letters have; the first of several."""
-    if letters.isascii():
-        return _SCRIPT_OF_RANGE[0]
-    counts = [0] * len(SCRIPTS)
-    for c in letters:
-        counts[_SCRIPT_OF_RANGE[bisect_right(_STARTS, ord(c)) - 1]] += 1
-    return counts.index(max(counts))
-
-
-def grams_of(letters: str) -> list[int]:
-    """Buckets of the n-grams of ``letters`` with marked ends."""
-    marked = f"<{letters}>".encode("utf-16-le")
-    out = []
-    for n in ORDERS:
-        for at in range(0, len(marked) - 2 * n + 1, 2):
-            out.append(zlib.crc32(marked[at : at + 2 * n]) % BUCKETS)
-    return out
+@dataclass(frozen=True)
+class WordGrams:
+    """Letters and script of every word, and the n-grams of those with letters: their rows
+    (``lettered``), buckets in turn, and where each row's begin."""
+
+    letters: np.ndarray
+    scripts: np.ndarray
+    lettered: np.ndarray
+    buckets: np.ndarray
+    starts: np.ndarray
+
+
+def grams_of(words: list[bytes]) -> WordGrams:
+    """Looks at the letters of the words in lower case, with marked ends, all words together."""
+    joined = b"\n".join(words).decode("utf-8", "replace").lower()
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+    word = np.cumsum(codes == _BETWEEN)
+    kept = _is_letter()[codes]
+    codes, word = codes[kept], word[kept]
+    letters = np.bincount(word, minlength=len(words))
+    lettered = np.flatnonzero(letters)
+    row = np.searchsorted(lettered, word)
+    n = letters[lettered]
+    first = np.cumsum(n + 2) - (n + 2)  # of a row's marked letters
+    text = np.full(int((n + 2).sum()), _END, np.uint64)
+    text[first] = _BEGIN
+    text[np.arange(len(codes)) + 1 + 2 * row] = codes
+    of = np.repeat(np.arange(len(n)), n + 2)
+    left = np.repeat(first + n + 2, n + 2) - np.arange(len(text))  # symbols from here to the end
+    buckets, owners = [], []
+    for order in ORDERS:
+        hashed = np.full(len(text), order, np.uint64)
+        for k in range(order):
+            hashed[: len(text) - k] += text[k:] * _FACTORS[k]
+        hashed = (hashed ^ hashed >> np.uint64(29)) * _FACTORS[0]
+        fits = left >= order
+        buckets.append((hashed >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)[fits])
+        owners.append(of[fits])
+    order = np.argsort(np.concatenate(owners), kind="stable")
+    counts = np.bincount(np.concatenate(owners), minlength=len(n))
+    # The script that most letters have, the first of several; of most words it is clear at once.
+    scripts = np.full(len(words), _SCRIPT_OF_RANGE[0])
+    other = np.unique(word[codes >= _STARTS[1]])
+    if len(other):
+        mine = np.isin(word, other)
+        script = np.array(_SCRIPT_OF_RANGE)[np.searchsorted(_STARTS, codes[mine], "right") - 1]
+        cell = np.searchsorted(other, word[mine]) * len(SCRIPTS) + script
+        table = np.bincount(cell, minlength=len(other) * len(SCRIPTS)).reshape(-1, len(SCRIPTS))
+        scripts[other] = table.argmax(1)
+    return WordGrams(letters, scripts, lettered, np.concatenate(buckets)[order], np.cumsum(counts) - counts)
 
 
 @dataclass(frozen=True)
@@ -122,17 +158,13 @@ def fit(
                 words.setdefault(lang, Counter()).update(split)
             for lang, counts in words.items():
                 tally = grams.setdefault(lang, np.zeros(BUCKETS + len(SCRIPTS), np.int64))
-                buckets: list[int] = []
-                times: list[int] = []
-                for word, n in counts.items():
-                    letters = letters_of(word)
-                    if letters:
-                        found = grams_of(letters)
-                        buckets += found
-                        times += [n] * len(found)
-                        tally[BUCKETS + script_of(letters)] += n * len(letters)
-                if buckets:
-                    tally[:BUCKETS] += np.bincount(buckets, times, BUCKETS).astype(np.int64)
+                found = grams_of(list(counts))
+                times = np.fromiter(counts.values(), np.int64, len(counts))
+                sizes = np.diff(np.append(found.starts, len(found.buckets)))
+                weights = np.repeat(times[found.lettered], sizes)
+                tally[:BUCKETS] += np.bincount(found.buckets, weights, BUCKETS).astype(np.int64)
+                letters = np.bincount(found.scripts, times * found.letters, len(SCRIPTS))
+                tally[BUCKETS:] += letters.astype(np.int64)
         for lang, tally in grams.items():
             at = np.flatnonzero(tally)
             yield pa.RecordBatch.from_arrays(
@@ -158,36 +190,40 @@ def fit(
     return LanguageModel(languages, log_prob.astype(np.float32), candidates)
 
 
-class WordScores(dict):
-    """Row numbers of words in ``scores`` (words x languages) and ``letters``."""
+class WordScores:
+    """Scores (words x languages) and letters of the words seen so far, within CACHE_BYTES."""
 
     def __init__(self, model: LanguageModel):
-        super().__init__()
         self.model = model
-        self.rows = CACHE_BYTES // (4 * len(model.languages) + 8)
-        self.scores = np.zeros((1024, len(model.languages)), np.float32)
-        self.letters = np.zeros(1024, np.int64)
-
-    def __missing__(self, word: bytes) -> int:
-        row = len(self)
-        if row == len(self.letters):
-            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
-        letters = letters_of(word)
-        self.letters[row] = len(letters)
-        if letters:
-            logs = self.model.log_prob[:, grams_of(letters)].sum(1) / len(ORDERS)
-            mask = self.model.candidates[script_of(letters)]
-            logs = np.maximum(logs - logs[mask].max(), -WORD_BOUND)
-            self.scores[row] = np.where(mask, logs, FOREIGN_SCRIPT)
-        else:
-            self.scores[row] = 0
-        self[word] = row
-        return row
-
-    def trim(self) -> None:
-        if len(self) > self.rows:
+        self.log_prob = np.ascontiguousarray(model.log_prob.T)
+        self.most = CACHE_BYTES // (4 * len(model.languages) + 8)
+        self.clear()
+
+    def clear(self) -> None:
+        self.row: dict[bytes, int] = {}
+        self.scores = np.zeros((0, len(self.model.languages)), np.float32)
+        self.letters = np.zeros(0, np.int64)
+
+    def _score(self, found: WordGrams) -> np.ndarray:
+        scores = np.zeros((len(found.letters), len(self.model.languages)), np.float32)
+        if len(found.lettered) and scores.shape[1]:
+            logs = np.add.reduceat(self.log_prob[found.buckets], found.starts, axis=0) / len(ORDERS)
+            mask = self.model.candidates[found.scripts[found.lettered]]
+            best = np.where(mask, logs, -np.inf).max(1, keepdims=True)
+            scores[found.lettered] = np.where(mask, np.maximum(logs - best, -WORD_BOUND), FOREIGN_SCRIPT)
+        return scores
+
+    def rows(self, words: list[bytes]) -> np.ndarray:
+        """Row numbers of the words; new ones are scored together."""
+        if len(self.row) > self.most:
             self.clear()
+        new = sorted(set(words).difference(self.row))
+        if new:
+            self.row.update(zip(new, range(len(self.row), len(self.row) + len(new))))
+            found = grams_of(new)
+            self.scores = np.concatenate([self.scores, self._score(found)])
+            self.letters = np.concatenate([self.letters, found.letters])
+        return np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
 
 
 def one_language_is_best(scores: np.ndarray, language: int, penalty: float) -> bool:
@@ -238,11 +274,10 @@ def label_texts(
 ) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
     """Language, score and spans (first word, end word, language) of every text."""
     languages = words.model.languages
-    scores, letters = [], []
-    for text in texts:
-        rows = np.fromiter(map(words.__getitem__, text), np.int64, len(text))
-        scores.append(words.scores[rows])
-        letters.append(words.letters[rows])
+    rows = words.rows([word for text in texts for word in text])
+    ends = np.cumsum([len(text) for text in texts])
+    scores = np.split(words.scores[rows], ends[:-1]) if texts else []
+    letters = np.split(words.letters[rows], ends[:-1]) if texts else []
     totals = [s.sum(0, dtype=np.float64) for s in scores]
     best = [int(t.argmax()) if len(t) else 0 for t in totals]
     mixed = [
@@ -273,7 +308,9 @@ def label_texts(
     return out
 
 
-SPANS = "array<struct<first: int, end: int, lang: string>>"
+SPANS = T.ArrayType(
+    T.StructType([T.StructField("first", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("lang", T.StringType())])
+)
 
 
 def identify(
@@ -311,9 +348,7 @@ def identify(
                 if n >= WORDS_AT_ONCE:
                     found += label_texts(waiting, words, penalty)
                     waiting, n = [], 0
-                    words.trim()
             found += label_texts(waiting, words, penalty)
-            words.trim()
             columns = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             if with_spans:
                 rows = [[{"first": a, "end": b, "lang": c} for a, b, c in x[2]] for x in found]
