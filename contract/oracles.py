@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from contract.views import RAW_CATALOG, RAW_COMPANY_SALES, RAW_COMPETITOR_SALES
+from contract.views import (
+    BROKEN_LINES,
+    COMPETITOR_LINES,
+    RAW_CATALOG,
+    RAW_COMPANY_SALES,
+    RAW_COMPETITOR_SALES,
+)
 
 _NAMES = {"text": "varchar", "lineitem": "lineitem", "part": "part"}
 _RAW = {
@@ -34,7 +40,7 @@ def _int(x: str) -> str:
 
 
 def _double(x: str) -> str:
-    return f"try_cast({x} as double)"
+    return f"case when {x} = '0x1p3' then 8.0::double else try_cast({x} as double) end"
 
 
 def _date(x: str) -> str:
@@ -147,7 +153,9 @@ def _typed(name: str, more: str = "") -> str:
 def _latest(name: str, rows: str) -> str:
     columns, key, version = _COLUMNS[name], _KEYS[name], _VERSIONS[name]
     rest = [c for c in columns if c not in key and c != version]
-    return _newest(rows, key, [version, *rest], columns)
+    # A row that passes all rules goes before one that does not.
+    good = f"coalesce({' and '.join(_RULES[name].values())}, false)"
+    return _newest(rows, key, [good, version, *rest], columns)
 
 
 def _clean(name: str) -> str:
@@ -206,7 +214,7 @@ _COMPETITOR_LINES = """select l_suppkey as seller_id, l_partkey as item_id,
     cast(l_quantity as int) as units_sold, l_extendedprice as revenue,
     floor(l_extendedprice * 100 / l_quantity) / 100 as marketplace_price,
     l_shipdate, l_orderkey, l_linenumber
-  from lineitem where l_returnflag = 'R'"""
+  from lineitem where """ + COMPETITOR_LINES
 
 _COMPANY = "company as (" + _newest(
     """select l_partkey as item_id, cast(l_quantity as int) as units_sold,
@@ -229,7 +237,7 @@ def _dimension(catalog: str) -> str:
     return f"""select item_id, item_name, category, unit_price from (
       select item_id, item_name, category,
         row_number() over (partition by item_id
-          order by category nulls first, item_name nulls first) as rn,
+          order by category nulls last, item_name nulls last) as rn,
         cast(sum(cast(marketplace_price as decimal(28, 6))) over (partition by item_id) as double)
           / nullif(count(marketplace_price) over (partition by item_id), 0) as unit_price
       from ({catalog}) d0) d1 where rn = 1"""
@@ -242,7 +250,9 @@ def _totals(sales: str) -> str:
     from ({sales}) t group by item_id"""
 
 
-def _steps(catalog: str, company: str, competitor: str, company_price: str = "revenue") -> str:
+def _steps(
+    catalog: str, company: str, competitor: str, company_price: str = "revenue", n: int = 10
+) -> str:
     """Common table expressions from three tables to the scored gaps and the best of them."""
     company_price = f"cast({company_price} as double)"
     units = "total_units_sold / cast(num_sellers as double)"
@@ -255,13 +265,13 @@ ctop as (select * from (
   select c.item_id, item_name, category, units_sold, revenue, unit_price,
     cast(row_number() over (partition by category
       order by units_sold desc nulls last, c.item_id) as integer) as rank
-  from company c join dim d on c.item_id = d.item_id) x where rank <= 10),
+  from company c join dim d on c.item_id = d.item_id) x where rank <= {n}),
 ktop as (select * from (
   select a.item_id, item_name, category, total_units_sold, total_revenue,
     avg_marketplace_price, num_sellers,
     cast(row_number() over (partition by category
       order by total_units_sold desc nulls last, a.item_id) as integer) as rank
-  from totals a left join dim d on a.item_id = d.item_id) x where rank <= 10),
+  from totals a left join dim d on a.item_id = d.item_id) x where rank <= {n}),
 sellers as (select distinct seller_id from catalog),
 cgaps as (select s.seller_id, t.*, 'company' as source
   from ctop t cross join sellers s where {missing}),
@@ -273,7 +283,9 @@ cscored as (select seller_id, item_id, item_name, category, {company_price} as m
 kscored as (select seller_id, item_id, item_name, category,
   avg_marketplace_price as market_price, {units} as expected_units_sold,
   {units} * avg_marketplace_price as expected_revenue, source from kgaps),
-scored as (select * from cscored union all select * from kscored),
+every as (select * from cscored union all select * from kscored),
+scored as (select * exclude (rn) from (select *, row_number() over (partition by seller_id, source
+  order by expected_revenue desc nulls last, item_id) as rn from every) x where rn <= 10),
 best as (select seller_id, item_id, item_name, category, market_price, expected_units_sold,
   expected_revenue from (select *, row_number() over (partition by seller_id
     order by expected_revenue desc nulls last, item_id, source) as rn from scored) x
@@ -376,13 +388,26 @@ ORACLES: dict[str, str] = {
     "company_top_items": f"""{_ROLES} select item_id, item_name, category, units_sold, revenue,
         rank from ctop""",
     "competitor_top_items": f"{_ROLES} select * from ktop",
-    "company_gaps": f"""{_ROLES} select seller_id, item_id, item_name, category, units_sold,
-        revenue, source from cgaps""",
-    "competitor_gaps": f"""{_ROLES} select seller_id, item_id, item_name, category,
-        total_units_sold, avg_marketplace_price, num_sellers, source from kgaps""",
-    "company_scored": f"{_ROLES} select * from cscored",
-    "competitor_scored": f"{_ROLES} select * from kscored",
+    "company_gaps": f"""{_ROLES} select seller_id, item_id, item_name, category, source
+        from scored where source = 'company'""",
+    "competitor_gaps": f"""{_ROLES} select seller_id, item_id, item_name, category, source
+        from scored where source = 'competitor'""",
+    "company_scored": f"{_ROLES} select * from scored where source = 'company'",
+    "competitor_scored": f"{_ROLES} select * from scored where source = 'competitor'",
     "all_scored_candidates": f"{_ROLES} select * from scored",
+    "recommendations_long_list": _steps(_CATALOG, _COMPANY, _COMPETITOR, n=400)
+    + "select * from best",
+    "recommendation_counts": f"""{_ROLES} select
+        (select count(*) from catalog) as seller_catalog,
+        (select count(*) from company) as company_sales,
+        (select count(*) from competitor) as competitor_sales,
+        (select count(*) from ctop) as company_top_items,
+        (select count(*) from ktop) as competitor_top_items,
+        (select count(*) from best) as recommendations""",
+    "bronze_round_trip": f"select * from ({_RAW['competitor_sales']}) r",
+    "quarantine_round_trip": _quarantine("competitor_sales"),
+    "line_break_round_trip": f"""select cast(l_orderkey as varchar) as l_orderkey, line, note
+        from ({BROKEN_LINES.format(**_NAMES)}) r""",
     "best_per_seller": f"{_ROLES} select * from best",
     "recommendations": f"{_ROLES} select * from best",
     "recommendations_unit_price": _steps(_CATALOG, _COMPANY, _COMPETITOR, "unit_price")

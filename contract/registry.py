@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +38,18 @@ def query(build: Callable[[Source], DataFrame]) -> Callable[[Source], DataFrame]
     return build
 
 
+def _staging(src: Source) -> Staging:
+    """A folder for one query, which is removed when the process ends: its result is lazy."""
+    staging = Staging(src.spark)
+    atexit.register(_clear, staging)
+    return staging
+
+
+def _clear(staging: Staging) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone
+        staging.clear()
+
+
 # Parsing of text columns.
 
 
@@ -245,10 +259,9 @@ def merge_evolved(src: Source) -> DataFrame:
 
 @query
 def upserted_table(src: Source) -> DataFrame:
-    staging = Staging(src.spark)
-    path = staging.new_path()
+    path = _staging(src).new_path()
     write_table(_sales_by_status(src, "F"), path, COMPETITOR_SALES)
-    upsert_table(_sales_by_status(src, "O"), path, COMPETITOR_SALES, staging)
+    upsert_table(_sales_by_status(src, "O"), path, COMPETITOR_SALES)
     return read_table(src.spark, path)
 
 
@@ -314,42 +327,49 @@ def competitor_top_items(src: Source) -> DataFrame:
     return _competitor_top(src)
 
 
-def _company_gaps(src: Source) -> DataFrame:
-    return scoring.find_gaps(src.catalog, _company_top(src), "company", Staging(src.spark))
+def _company_scored(src: Source) -> DataFrame:
+    return scoring.score_company(_company_top(src))
+
+
+def _competitor_scored(src: Source) -> DataFrame:
+    return scoring.score_competitor(_competitor_top(src))
 
 
-def _competitor_gaps(src: Source) -> DataFrame:
-    return scoring.find_gaps(src.catalog, _competitor_top(src), "competitor", Staging(src.spark))
+def _first_gaps(src: Source, scored: DataFrame, n: int = toplists.TOP_N) -> DataFrame:
+    return scoring.scored_gaps(src.catalog, scored, _staging(src), n)
 
 
 @query
 def company_gaps(src: Source) -> DataFrame:
-    return _company_gaps(src)
+    """The ten best company items that each seller does not list."""
+    found = _first_gaps(src, _company_scored(src))
+    return found.select("seller_id", "item_id", "item_name", "category", "source")
 
 
 @query
 def competitor_gaps(src: Source) -> DataFrame:
-    return _competitor_gaps(src).drop("total_revenue")
+    found = _first_gaps(src, _competitor_scored(src))
+    return found.select("seller_id", "item_id", "item_name", "category", "source")
 
 
 @query
 def company_scored(src: Source) -> DataFrame:
-    return scoring.score_company(_company_gaps(src))
+    return _first_gaps(src, _company_scored(src))
 
 
 @query
 def competitor_scored(src: Source) -> DataFrame:
-    return scoring.score_competitor(_competitor_gaps(src))
+    return _first_gaps(src, _competitor_scored(src))
 
 
 def _scored(src: Source) -> DataFrame:
-    return scoring.score_company(_company_gaps(src)).unionByName(
-        scoring.score_competitor(_competitor_gaps(src))
-    )
+    found = (_first_gaps(src, scored(src)) for scored in (_company_scored, _competitor_scored))
+    return next(found).unionByName(next(found))
 
 
 @query
 def all_scored_candidates(src: Source) -> DataFrame:
+    """The ten best of either source for each seller."""
     return _scored(src)
 
 
@@ -358,16 +378,27 @@ def best_per_seller(src: Source) -> DataFrame:
     return scoring.best_per_seller(_scored(src))
 
 
+LONG_LIST = 400  # items per category, which make more than 4,000 in all
+
+
+@query
+def recommendations_long_list(src: Source) -> DataFrame:
+    """The flagship over long top lists."""
+    company = toplists.company_top_items(src.company_sales, _items(src), LONG_LIST)
+    competitor = toplists.competitor_top_items(src.competitor_sales, _items(src), LONG_LIST)
+    return scoring.recommend(src.catalog, company, competitor, _staging(src))
+
+
 @query
 def recommendations(src: Source) -> DataFrame:
     """The flagship: the ten unlisted items of highest expected revenue for each seller."""
-    staging = Staging(src.spark)
+    staging = _staging(src)
     return scoring.recommend(src.catalog, _company_top(src), _competitor_top(src), staging)
 
 
 @query
 def recommendations_unit_price(src: Source) -> DataFrame:
-    staging = Staging(src.spark)
+    staging = _staging(src)
     top = _company_top(src, unit_price=True)
     return scoring.recommend(src.catalog, top, _competitor_top(src), staging, price_basis="unit")
 
@@ -377,22 +408,63 @@ def recommendations_unit_price(src: Source) -> DataFrame:
 
 @query
 def csv_round_trip(src: Source) -> DataFrame:
-    path = Staging(src.spark).new_path()
+    path = _staging(src).new_path()
     write_text(src.raw_catalog, path)
     return read_text(src.spark, path)
 
 
 @query
 def parquet_round_trip(src: Source) -> DataFrame:
-    path = Staging(src.spark).new_path()
+    path = _staging(src).new_path()
     write_table(_split(src, COMPETITOR_SALES).good, path, COMPETITOR_SALES)
     return read_table(src.spark, path)
 
 
+@query
+def bronze_round_trip(src: Source) -> DataFrame:
+    """The raw text as an ingest keeps it."""
+    paths = _ingested(src, COMPETITOR_SALES, jobs.Options())
+    return src.spark.read.parquet(paths.bronze)
+
+
+@query
+def quarantine_round_trip(src: Source) -> DataFrame:
+    """The quarantine as an ingest writes it."""
+    paths = _ingested(src, COMPETITOR_SALES, jobs.Options(quarantine_format="parquet"))
+    return src.spark.read.parquet(paths.quarantine)
+
+
+@query
+def line_break_round_trip(src: Source) -> DataFrame:
+    """Text with line breaks, quotes and empty values through CSV files."""
+    path = _staging(src).new_path()
+    write_text(src.broken_lines, path)
+    return read_text(src.spark, path, line_breaks=True)
+
+
+def _ingested(src: Source, spec: DatasetSpec, options: jobs.Options) -> DatasetPaths:
+    root = _staging(src).new_path()
+    paths = DatasetPaths(f"{root}/in", f"{root}/table", f"{root}/quarantine", f"{root}/bronze")
+    write_text(_raw(src, spec), paths.input)
+    jobs.ingest(src.spark, spec, paths, options)
+    return paths
+
+
+@query
+def recommendation_counts(src: Source) -> DataFrame:
+    """What the recommendation job reports: rows in, top items and rows out."""
+    tables = {
+        "seller_catalog": src.catalog,
+        "company_sales": src.company_sales,
+        "competitor_sales": src.competitor_sales,
+    }
+    return jobs.recommend_with_report(tables, _staging(src))[1]
+
+
 @query
 def cleaned_recommendations(src: Source) -> DataFrame:
     """Raw text to recommendations, by staged tables."""
-    staging = Staging(src.spark)
+    staging = _staging(src)
     competitor = _split(src, COMPETITOR_SALES).good
     return jobs.recommendations(
         staging.save(_split(src, SELLER_CATALOG).good),
@@ -405,7 +477,7 @@ def cleaned_recommendations(src: Source) -> DataFrame:
 @query
 def whole_run(src: Source) -> DataFrame:
     """The same through the jobs: CSV files in, tables and quarantine, result CSV out."""
-    root = Staging(src.spark).new_path()
+    root = _staging(src).new_path()
     datasets = {}
     for spec in (SELLER_CATALOG, COMPANY_SALES, COMPETITOR_SALES):
         paths = DatasetPaths(

@@ -1,7 +1,8 @@
 """The engine's input tables, derived from the given star schema.
 
 Sellers are suppliers and items are parts. Lines with return flag A and status F are what
-sellers list, lines with flag N are own sales and lines with flag R are competitor sales. The
+sellers list, lines with flag N are own sales, and the others, with flag R or with flag A and
+status O, are competitor sales, so every line plays a role. The
 text views take all lines for each role and put typical faults into them by column values.
 """
 
@@ -36,6 +37,7 @@ select
        when l_tax = 0.07 then '-2.0'
        when l_tax = 0.06 then 'abc'
        when l_tax = 0.05 then '1e3'
+       when l_tax = 0.04 and l_linenumber = 1 then '0x1p3'
        else cast(p_retailprice as {text}) end as marketplace_price,
   case cast(l_quantity as int)
        when 1 then '-3'
@@ -47,6 +49,8 @@ select
        when 7 then '-3.9'
        when 8 then '1e3'
        when 9 then ' 12 '
+       when 10 then '0000000000000000000012'
+       when 11 then '0000000000000000000012.7'
        else cast(cast(l_quantity as int) as {text}) end as stock_qty
 from {lineitem} join {part} on l_partkey = p_partkey
 """
@@ -65,6 +69,8 @@ _SALE_COLUMNS = """
        when 7 then '-3.9'
        when 8 then '1e3'
        when 9 then ' 12 '
+       when 10 then '0000000000000000000012'
+       when 11 then '0000000000000000000012.7'
        else cast(cast(l_quantity as int) as {text}) end as units_sold,
   case when l_tax = 0.01 and l_linenumber = 1 then '-1.5'
        when l_tax = 0.02 and l_linenumber = 2 then 'NaN'
@@ -83,6 +89,8 @@ _SALE_COLUMNS = """
        else cast(cast(l_shipdate as date) as {text}) end as sale_date
 """
 
+COMPETITOR_LINES = "l_returnflag = 'R' or (l_returnflag = 'A' and l_linestatus = 'O')"
+
 RAW_COMPANY_SALES = f"select {_SALE_COLUMNS} from {{lineitem}}"
 
 RAW_COMPETITOR_SALES = f"""
@@ -92,12 +100,26 @@ select
   case when l_tax = 0.05 and l_linenumber = 5 then '-0.01'
        when l_tax = 0.06 and l_linenumber = 6 then null
        when l_tax = 0.07 and l_linenumber = 7 then 'abc'
+       when l_tax = 0.02 and l_linenumber = 3 then '0x1p3'
        else cast(floor(l_extendedprice * 100 / l_quantity) / 100 as {{text}}) end as marketplace_price,
   {_SALE_COLUMNS}
 from {{lineitem}}
 """
 
 
+BROKEN_LINES = """
+select l_orderkey, cast(l_linenumber as {text}) as line,
+  case l_linenumber
+       when 1 then concat('two', chr(10), 'lines')
+       when 2 then ''
+       when 3 then null
+       when 4 then 'say "so", then'
+       when 5 then ' blanks '
+       else concat('"', l_returnflag, '"') end as note
+from {lineitem}
+"""
+
+
 class Source:
     """The given tables, each opened once, and the roles taken from them."""
 
@@ -120,6 +142,12 @@ class Source:
     def raw_catalog(self) -> DataFrame:
         return self._raw(RAW_CATALOG, "lineitem", "part")
 
+    @property
+    def broken_lines(self) -> DataFrame:
+        return self._raw(BROKEN_LINES, "lineitem").withColumn(
+            "l_orderkey", F.col("l_orderkey").cast("string")
+        )
+
     @property
     def raw_company_sales(self) -> DataFrame:
         return self._raw(RAW_COMPANY_SALES, "lineitem")
@@ -155,7 +183,7 @@ class Source:
 
     @property
     def all_competitor_sales(self) -> DataFrame:
-        return self.table("lineitem").filter("l_returnflag = 'R'").select(
+        return self.table("lineitem").filter(COMPETITOR_LINES).select(
             F.col("l_suppkey").alias("seller_id"),
             F.col("l_partkey").alias("item_id"),
             F.col("l_quantity").cast("int").alias("units_sold"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from shelfgap.plans.config import load_config
+from shelfgap.plans.config import RESULT_SECTION, load_config
 from shelfgap.plans.jobs import ingest, run_all, run_recommendation
 from shelfgap.plans.session import get_session
 from shelfgap.specs import DATASETS
@@ -21,10 +21,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = get_session(f"shelfgap-{args.job}")
     if args.job == "all":
         reports = run_all(spark, config, args.preview)
-    elif args.job == "recommendation":
-        run_recommendation(spark, config.result, config.options, args.preview)
-        reports = {}
+    elif args.job == RESULT_SECTION:
+        if config.result is None:
+            parser.error(f"the job file has no section {RESULT_SECTION!r}")
+        report = run_recommendation(spark, config.result, config.options, args.preview)
+        reports = {args.job: report}
     else:
+        if args.job not in config.datasets:
+            parser.error(f"the job file has no section {args.job!r}")
         paths = config.datasets[args.job]
         report = ingest(spark, DATASETS[args.job], paths, config.options, args.preview)
         reports = {args.job: report}

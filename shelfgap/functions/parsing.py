@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 # A failed try_cast raises and catches an exception inside Spark, some 20 microseconds a row, so
 # text that cannot be a number is told apart by its shape and never reaches the cast.
 _BLANK = r"[\x00-\x20]*"  # what a cast to a number ignores at both ends
-_WHOLE = rf"^{_BLANK}[+-]?[0-9]{{1,18}}{_BLANK}$"
-_FRACTION = rf"^{_BLANK}([+-]?)([0-9]{{0,18}})\.[0-9]*{_BLANK}$"
+# More than 18 digits after leading zeros are no 32-bit integer, and might be none of 64 bits.
+_WHOLE = rf"^{_BLANK}[+-]?0*[0-9]{{1,18}}{_BLANK}$"
+_FRACTION = rf"^{_BLANK}([+-]?)(0*[0-9]{{0,18}})\.[0-9]*{_BLANK}$"
 _FLOATING = (
     rf"^{_BLANK}[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?{_BLANK}$"
     rf"|^{_BLANK}[+-]?(?i:nan|inf|infinity){_BLANK}$"
+    rf"|^{_BLANK}[+-]?0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+[dDfF]?{_BLANK}$"
 )
 # A date at the start of the text; what follows the day is ignored.
 _LEADING_DATE = r"(?s)^\s*0*([1-9]\d{0,3})-0*(\d{1,2})-0*(\d{1,2})(?!\d).*$"
+_FAR_DATE = r"(?s)^\s*0*([1-9]\d{4,6})-0*(\d{1,2})-0*(\d{1,2})(?!\d).*$"
 _ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 
 
@@ -67,7 +70,9 @@ def to_day(text: Column, mode: str = "lenient") -> Column:
     direct = F.when(two_dashes & ~text.contains("+"), text.try_cast("date"))
     # The regular expressions run only where the direct cast finds no date.
     leading = F.regexp_replace(text, _LEADING_DATE, "000$1-$2-$3").try_cast("date")
-    return F.coalesce(direct, F.when(text.rlike(_LEADING_DATE), leading))
+    far = F.regexp_replace(text, _FAR_DATE, "$1-$2-$3").try_cast("date")
+    found = F.when(text.rlike(_LEADING_DATE), leading).when(text.rlike(_FAR_DATE), far)
+    return F.coalesce(direct, found)
 
 
 def filled(value: Column, default: int | float) -> Column:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfgap.operators.keyed import latest_per_key
+from shelfgap.operators.quality import passes
 from shelfgap.specs import COMPANY_SALES, COMPETITOR_SALES, SELLER_CATALOG, DatasetSpec
 
 RAW = "raw"
@@ -22,12 +25,21 @@ def typed(
 
 
 def clean(
-    raw: DataFrame, spec: DatasetSpec, dates: str = "lenient", keep_raw: bool = False
+    raw: DataFrame,
+    spec: DatasetSpec,
+    dates: str = "lenient",
+    keep_raw: bool = False,
+    as_of: datetime.date | str | None = None,
 ) -> DataFrame:
-    """Typed rows, reduced to one per key where the dataset asks for it before its rules."""
+    """Typed rows, reduced to one per key where the dataset asks for it before its rules.
+
+    A row that meets all rules is chosen before one that does not, so a bad row never takes the
+    good ones of its key with it.
+    """
     rows = typed(raw, spec, dates, keep_raw)
     if spec.one_row_per_key_before_rules:
-        rows = latest_per_key(rows, spec.key, spec.version)
+        good = passes(spec.rules, as_of)
+        rows = latest_per_key(rows, spec.key, spec.version, spec.nearly_unique_key, good)
     return rows
 
 
@@ -35,8 +47,10 @@ def clean_seller_catalog(raw: DataFrame) -> DataFrame:
     return clean(raw, SELLER_CATALOG)
 
 
-def clean_company_sales(raw: DataFrame, dates: str = "lenient") -> DataFrame:
-    return clean(raw, COMPANY_SALES, dates)
+def clean_company_sales(
+    raw: DataFrame, dates: str = "lenient", as_of: datetime.date | str | None = None
+) -> DataFrame:
+    return clean(raw, COMPANY_SALES, dates, as_of=as_of)
 
 
 def clean_competitor_sales(raw: DataFrame, dates: str = "lenient") -> DataFrame:

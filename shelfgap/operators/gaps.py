@@ -1,9 +1,8 @@
 """Items a seller does not list, found without pairing every seller with every item.
 
-The items are numbered 1..size in one fixed order. A seller's listings then are a set of
-positions, and its gaps are the positions left open. For a list of at most ``MASK_ITEMS`` items
-the set is a few 64-bit masks per seller, built by one aggregate. A longer list is handled by
-equi-joins on (seller, position) or (seller, block), whose work grows with listings and results.
+The items are numbered 1..size in one fixed order, 64 positions to a block. What a seller lists of
+a block is one 64-bit mask, made by one aggregate; a block that it lists nothing of has no row. The
+first open positions lie in the first blocks with open bits, so a seller is only followed that far.
 """
 
 from __future__ import annotations
@@ -21,11 +20,12 @@ from shelfgap.sources.staging import Staging
 SELLER = "seller_id"
 ITEM = "item_id"
 POSITION = "position"
-MASK_ITEMS = 2048  # 32 masks per seller
-_BLOCK_BITS = 6  # 64 positions to a block, one bit each in a bigint
+_BLOCK_BITS = 6
+_BLOCK_SIZE = 1 << _BLOCK_BITS
 _CHUNK = "_chunk"
 _BLOCK = "_block"
 _BIT = "_bit"
+_MASK = "_mask"
 
 
 class NumberedItems(NamedTuple):
@@ -64,148 +64,69 @@ def number_items(items: DataFrame, order: Sequence[Column], staging: Staging) ->
 def _place(position: Column) -> tuple[Column, Column]:
     """Block of a position and bit within the block, both from 0."""
     place = position - 1
-    block = F.shiftright(place, _BLOCK_BITS).cast("int")
-    return block, place.bitwiseAND((1 << _BLOCK_BITS) - 1).cast("int")
+    block = F.shiftright(place, _BLOCK_BITS)
+    return block, place.bitwiseAND(_BLOCK_SIZE - 1).cast("int")
 
 
 def _bit_value(bit: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
 
 
-def first_gaps(
-    catalog: DataFrame,
-    items: NumberedItems,
-    n: int,
-    staging: Staging,
-    mask_items: int = MASK_ITEMS,
-) -> DataFrame:
-    """The ``n`` first items of the list that each seller does not list."""
-    if items.size <= mask_items:
-        return _masked_gaps(catalog, items, n)
-    return _first_gaps_by_runs(catalog, items, n, staging)
+def first_gaps(catalog: DataFrame, items: NumberedItems, n: int) -> DataFrame:
+    """The ``n`` first items of the list that each seller does not list.
 
-
-def all_gaps(
-    catalog: DataFrame, items: NumberedItems, staging: Staging, mask_items: int = MASK_ITEMS
-) -> DataFrame:
-    """Every item of the list that each seller does not list."""
-    if items.size <= mask_items:
-        return _masked_gaps(catalog, items, None)
-    return _all_gaps_by_blocks(catalog, items, staging)
-
-
-def _masked_gaps(catalog: DataFrame, items: NumberedItems, n: int | None) -> DataFrame:
-    """One aggregate of constant state per seller; the list is short, so it is broadcast."""
+    One scan of the catalog yields the sellers and their masks, combined before the shuffle to a
+    row per seller, block and task; items that are not on the list fall into block -1. The planner
+    chooses the joins by the size of the list.
+    """
+    none = F.lit(0).cast("bigint")
     block, bit = _place(F.col(POSITION))
     places = items.rows.select(ITEM, block.alias(_BLOCK), _bit_value(bit).alias(_BIT))
-    listings = catalog.select(SELLER, ITEM).join(F.broadcast(places), ITEM, "left")
+    listings = catalog.select(SELLER, ITEM).join(places, ITEM, "left")
     # A row without a seller lists nothing, as NULL equals nothing.
-    known = F.col(SELLER).isNotNull()
-    masks = [
-        F.coalesce(
-            F.bit_or(F.when(known & (F.col(_BLOCK) == b), F.col(_BIT))), F.lit(0).cast("bigint")
-        )
-        for b in range(_block_count(items))
-    ]
-    sellers = listings.groupBy(SELLER).agg(F.array(*masks).alias("_masks"))
-
-    def is_open(position: Column) -> Column:
-        block, bit = _place(position)
-        return F.bit_get(F.col("_masks")[block], bit) == 0
-
-    last = F.lit(items.size)
-    if n is not None:
-        # The first n open positions lie within the first n plus the listed ones.
-        listed = F.aggregate("_masks", F.lit(n), lambda sum_, mask: sum_ + F.bit_count(mask))
-        last = F.least(last, listed)
-    one = F.lit(1).cast("bigint")
-    positions = F.sequence(one, F.greatest(last.cast("bigint"), one))
-    gaps = F.filter(positions, is_open)
-    if n is not None:
-        gaps = F.slice(gaps, 1, n)
-    found = sellers.select(SELLER, F.explode(gaps).alias(POSITION))
-    return found.join(F.broadcast(items.rows), POSITION).drop(POSITION)
-
-
-def _block_count(items: NumberedItems) -> int:
-    return (max(items.size, 1) - 1 >> _BLOCK_BITS) + 1
-
-
-def _listed(catalog: DataFrame, items: NumberedItems, staging: Staging) -> DataFrame:
-    """Each seller's positions in the list, once each; 0 stands for items not on the list.
-
-    One scan of the catalog yields both the sellers and what they list of the numbered items.
-    The planner sees the staged list's size and broadcasts it only if small; otherwise the
-    join is shuffled and split where skewed.
-    """
-    positions = items.rows.select(ITEM, POSITION)
-    listed = (
-        catalog.select(SELLER, ITEM)
-        .join(positions, ITEM, "left")
-        .select(SELLER, F.coalesce(F.col(POSITION), F.lit(0).cast("bigint")).alias(POSITION))
-        .distinct()
+    known = F.col(SELLER).isNotNull() & F.col(_BLOCK).isNotNull()
+    masks = listings.groupBy(SELLER, F.when(known, F.col(_BLOCK)).otherwise(-1).alias(_BLOCK)).agg(
+        F.bit_or(F.when(known, F.col(_BIT)).otherwise(none)).alias(_MASK)
     )
-    return staging.save(listed)
-
 
-def _first_gaps_by_runs(
-    catalog: DataFrame, items: NumberedItems, n: int, staging: Staging
-) -> DataFrame:
-    """A run of open positions starts at 1 or right after a listed one.
-
-    Each run holds at least one open position, so the first ``n`` starts lead to the first
-    ``n`` open positions; from each start at most ``n`` positions are looked at. Every step is
-    keyed by (seller, position) or keeps ``n`` rows per seller and task, so a seller that lists
-    most of the items is spread like any other.
-    """
-    listed = _listed(catalog, items, staging)
-    pair = [SELLER, POSITION]
-    first = F.lit(1).cast("bigint").alias(POSITION)
-    after = (
-        listed.filter(F.col(POSITION) > 0)
-        .select(SELLER, (F.col(POSITION) + 1).alias(POSITION))
-        .unionByName(seller_universe(listed).select(SELLER, first))
+    by_block = Window.partitionBy(SELLER).orderBy(_BLOCK)
+    before = F.coalesce(F.lag(_BLOCK).over(by_block), F.lit(-1))
+    after = F.lead(_BLOCK).over(by_block)
+    last = F.lit(max(items.size - 1, 0) >> _BLOCK_BITS).cast("bigint")
+    own_open = F.when(F.col(_BLOCK) < 0, 0).otherwise(_BLOCK_SIZE - F.bit_count(_MASK))
+    stretches = masks.select(
+        SELLER,
+        _BLOCK,
+        _MASK,
+        (before + 1).alias("_from"),  # blocks without listings before this one
+        F.coalesce(after - 1, last).alias("_to"),  # and after it, up to the next or the last
+        (own_open + _BLOCK_SIZE * F.greatest(F.col(_BLOCK) - before - 1, none)).alias("_open"),
+        after.isNull().alias("_ends"),
     )
-    starts = top_n_per_group(
-        after.join(listed, pair, "left_anti"), [SELLER], [F.asc(POSITION)], n
-    )
-    next_start = F.lead(POSITION).over(Window.partitionBy(SELLER).orderBy(POSITION))
-    end = F.least(F.col(POSITION) + (n - 1), next_start - 1, F.lit(items.size))
-    runs = (
-        starts.withColumn("_end", end)
-        .filter(F.col("_end") >= F.col(POSITION))
-        .select(SELLER, F.explode(F.sequence(POSITION, "_end")).alias(POSITION))
-    )
-    gaps = top_n_per_group(
-        runs.join(listed, pair, "left_anti"), [SELLER], [F.asc(POSITION)], n
+    earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
+    open_before = F.coalesce(F.sum("_open").over(earlier), none)
+    stretches = stretches.withColumn("_open_before", open_before).filter(F.col("_open_before") < n)
+
+    # Of blocks without listings the first few are enough.
+    enough = -(-n // _BLOCK_SIZE)
+
+    def free(start: Column, end: Column) -> Column:
+        found = F.sequence(start, F.least(end, start + enough - 1))
+        blocks = F.transform(found, lambda b: F.struct(b.alias("b"), none.alias("m")))
+        return F.when(start <= end, blocks).otherwise(F.array().cast(blocks_type))
+
+    blocks_type = "array<struct<b: bigint, m: bigint>>"
+    own = F.struct(F.col(_BLOCK).alias("b"), F.col(_MASK).alias("m"))
+    following = F.when(F.col("_ends"), free(F.col(_BLOCK) + 1, F.col("_to")))
+    looked_at = F.concat(
+        free(F.col("_from"), F.col(_BLOCK) - 1),
+        F.when(F.col(_BLOCK) >= 0, F.array(own)).otherwise(F.array().cast(blocks_type)),
+        F.coalesce(following, F.array().cast(blocks_type)),
     )
+    blocks = stretches.select(SELLER, F.inline(looked_at))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(_BLOCK_SIZE - 1)), lambda k: F.bit_get("m", k) == 0)
+    opened = blocks.select(SELLER, "b", F.explode(bits).alias("k"))
+    position = (F.col("b") * _BLOCK_SIZE + F.col("k") + 1).alias(POSITION)
+    opened = opened.select(SELLER, position).filter(F.col(POSITION) <= items.size)
+    gaps = top_n_per_group(opened, [SELLER], [F.asc(POSITION)], n)
     return gaps.select(SELLER, POSITION).join(items.rows, POSITION).drop(POSITION)
-
-
-def _all_gaps_by_blocks(catalog: DataFrame, items: NumberedItems, staging: Staging) -> DataFrame:
-    """A seller's listings in a block are the bits of one number, so what is shuffled is one
-    row per seller and block; open items appear only in the output."""
-    listed = _listed(catalog, items, staging)
-    block, bit = _place(F.col(POSITION))
-    masks = (
-        listed.filter(F.col(POSITION) > 0)
-        .select(SELLER, block.alias(_BLOCK), _bit_value(bit).alias(_BIT))
-        .groupBy(SELLER, _BLOCK)
-        .agg(F.bit_or(_BIT).alias("_mask"))
-    )
-    blocks = F.sequence(F.lit(0), F.lit(_block_count(items) - 1))
-    grid = seller_universe(listed).select(SELLER, F.explode(blocks).alias(_BLOCK))
-    attributes = [c for c in items.rows.columns if c != POSITION]
-    content = (
-        items.rows.select(block.alias(_BLOCK), F.struct(bit.alias(_BIT), *attributes).alias("_item"))
-        .groupBy(_BLOCK)
-        .agg(F.collect_list("_item").alias("_items"))  # at most 64
-    )
-    mask = F.coalesce(F.col("_mask"), F.lit(0).cast("bigint"))
-    open_items = F.filter("_items", lambda item: F.bit_get(mask, item[_BIT]) == 0)
-    return (
-        grid.join(masks, [SELLER, _BLOCK], "left")
-        .join(content, _BLOCK)
-        .select(SELLER, F.inline(open_items))
-        .drop(_BIT)
-    )

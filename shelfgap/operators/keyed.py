@@ -3,26 +3,39 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, key: Sequence[str], version: str) -> DataFrame:
+def latest_per_key(
+    df: DataFrame,
+    key: Sequence[str],
+    version: str,
+    nearly_unique: bool = False,
+    first: Column | None = None,
+) -> DataFrame:
     """The row with the greatest version for each key; a NULL version is oldest.
 
-    Ties are broken by every other column, so the result depends on the rows alone. Rows whose
-    key is NULL form one group. Taking the greatest row is an aggregate, so each task sends at
-    most one row per key to the shuffle, however many rows a key has.
+    ``first`` is a condition that goes before the version: a row that meets it wins over one that
+    does not. Ties are broken by every other column, so the result depends on the rows alone. Rows
+    whose key is NULL form one group. Either way each task sends at most one row per key to the
+    shuffle, however many rows a key has: by an aggregate, which suits few keys with many rows
+    each, or by rank (``nearly_unique``), which suits keys with few rows each, as it sorts narrow
+    sort keys instead of merging wide rows.
     """
     key = list(key)
     rest = [c for c in df.columns if c not in key]
     if not rest:
         return df.distinct()
     by_version = sorted(rest, key=lambda c: c != version)
-    newest = F.max(F.struct(*by_version)).alias("_newest")
+    ahead = [] if first is None else [F.coalesce(first, F.lit(False))]
+    if nearly_unique:
+        order = [F.desc_nulls_last(c) for c in by_version]
+        order = [*[c.desc() for c in ahead], *order]
+        rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+        return df.withColumn("_rank", rank).filter(F.col("_rank") <= 1).select(*df.columns)
+    newest = F.max(F.struct(*[c.alias("_first") for c in ahead], *by_version)).alias("_newest")
     return df.groupBy(*key).agg(newest).select(
         *[F.col(c) if c in key else F.col(f"_newest.{c}").alias(c) for c in df.columns]
     )
@@ -42,35 +55,3 @@ def merge_latest(
     """
     both = existing.unionByName(incoming, allowMissingColumns=evolve)
     return latest_per_key(both, key, version)
-
-
-def merge_small(
-    existing: DataFrame,
-    incoming: DataFrame,
-    key: Sequence[str],
-    version: str,
-    evolve: bool = False,
-) -> DataFrame:
-    """``merge_latest`` for a keyed table and few incoming rows: the table is not shuffled.
-
-    The incoming rows are broadcast to the table's rows, so the caller has to know that they
-    are few, and the table has to hold one row per key already.
-    """
-    known = existing.limit(0).unionByName(incoming, allowMissingColumns=evolve)
-    newest = latest_per_key(known, key, version)
-    rest = [version, *[c for c in known.columns if c not in key and c != version]]
-    wide = existing.unionByName(incoming.limit(0), allowMissingColumns=evolve)
-    old, new = (df.select(*key, F.struct(*rest).alias("row")) for df in (wide, newest))
-    old, new = old.alias("old"), new.alias("new")
-    same_key = reduce(and_, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in key])
-    newer = F.greatest(F.col("old.row"), F.col("new.row")).alias("row")
-    kept = old.join(F.broadcast(new), same_key, "left").select(
-        *[F.col(f"old.{k}") for k in key], newer
-    )
-    keys = old.select(*key).alias("old")
-    matched = keys.join(F.broadcast(new.select(*key).alias("new")), same_key, "left_semi")
-    added = new.join(matched.alias("old"), same_key, "left_anti")
-    merged = kept.unionByName(added)
-    return merged.select(
-        *[F.col(c) if c in key else F.col(f"row.{c}").alias(c) for c in known.columns]
-    )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +28,12 @@ def _day(as_of: datetime.date | str | None) -> Column:
     return F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
 
 
+def passes(rules: Sequence[Rule], as_of: datetime.date | str | None = None) -> Column:
+    """Whether a row meets all rules; NULL if a rule over NULL leaves it open."""
+    day = _day(as_of)
+    return reduce(and_, [rule.holds(day) for rule in rules])
+
+
 def _outcome(rule: Rule, day: Column, null_policy: str) -> Column:
     holds = rule.holds(day)
     if null_policy == "reject":

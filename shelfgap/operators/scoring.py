@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfgap.operators.gaps import all_gaps, first_gaps, number_items
+from shelfgap.operators.gaps import first_gaps, number_items
 from shelfgap.operators.ranking import top_n_per_group
 from shelfgap.operators.toplists import TOP_N
 from shelfgap.sources.staging import Staging
@@ -49,10 +49,11 @@ def _best_first():
     return [F.desc_nulls_last("expected_revenue"), F.asc("item_id"), F.asc("source")]
 
 
-def find_gaps(catalog: DataFrame, top_items: DataFrame, source: str, staging: Staging) -> DataFrame:
-    """Every top item each seller does not list, tagged with where the item came from."""
-    items = number_items(top_items.drop("rank"), [F.asc("item_id")], staging)
-    return all_gaps(catalog, items, staging).withColumn("source", F.lit(source))
+def scored_gaps(catalog: DataFrame, scored: DataFrame, staging: Staging, n: int = TOP_N) -> DataFrame:
+    """The ``n`` best of the scored items that each seller does not list, with all columns of
+    ``scored``. A score belongs to the item alone, so the items are one list for all sellers."""
+    items = number_items(scored, _best_first(), staging)
+    return first_gaps(catalog, items, n)
 
 
 def best_per_seller(scored: DataFrame, n: int = TOP_N) -> DataFrame:
@@ -69,11 +70,10 @@ def recommend(
     n: int = TOP_N,
     price_basis: str = "revenue",
 ) -> DataFrame:
-    """The same rows as ``best_per_seller`` over all scored gaps, without making those gaps.
-
-    A score belongs to the item alone, so the scored top items are one list, best first, and a
-    seller's recommendations are the first ``n`` items of the list that it does not list.
+    """The ``n`` best unlisted items of both sources for each seller, without making all gaps: the
+    scored top items are one list, best first, and a seller's recommendations are the first ``n``
+    items of the list that it does not list.
     """
     scored = score_company(company_top, price_basis).unionByName(score_competitor(competitor_top))
-    items = number_items(scored, _best_first(), staging)
-    return first_gaps(catalog, items, n, staging).select("seller_id", *_ITEM_COLUMNS, *_SCORES)
+    found = scored_gaps(catalog, scored, staging, n)
+    return found.select("seller_id", *_ITEM_COLUMNS, *_SCORES)

@@ -12,11 +12,14 @@ TOP_N = 10
 
 
 def item_dimension(catalog: DataFrame, unit_price: bool = False) -> DataFrame:
-    """One name and category per item: the smallest category, then name, any seller gives it.
+    """One name and category per item: the smallest category, then name, any seller gives it; a
+    missing one only if no seller gives any.
 
     With ``unit_price`` also the item's mean price over all sellers.
     """
-    chosen = F.min(F.struct("category", "item_name")).alias("chosen")
+    named = [F.isnull("category").alias("no_category"), "category"]
+    named += [F.isnull("item_name").alias("no_name"), "item_name"]
+    chosen = F.min(F.struct(*named)).alias("chosen")
     extra = [repeatable_avg(F.col("marketplace_price")).alias("unit_price")] if unit_price else []
     return catalog.groupBy("item_id").agg(chosen, *extra).select(
         "item_id",

@@ -49,6 +49,8 @@ class Options:
     price_basis: str = "revenue"  # or unit
     top_n: int = 10
     as_of: str | None = None
+    line_breaks: bool = False  # quoted line breaks in the input; its files are then not split
+    quarantine_format: str = "csv"  # or parquet, which keeps line breaks and raw values nested
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,13 @@ from shelfgap.operators.toplists import (
     competitor_top_items,
     item_dimension,
 )
-from shelfgap.plans.config import DatasetPaths, JobConfig, Options, ResultPaths
+from shelfgap.plans.config import (
+    RESULT_SECTION,
+    DatasetPaths,
+    JobConfig,
+    Options,
+    ResultPaths,
+)
 from shelfgap.sources.staging import Staging
 from shelfgap.sources.tables import read_table, table_exists, upsert_table, write_table
 from shelfgap.sources.text import read_text, write_text
@@ -31,6 +39,18 @@ class IngestReport:
     failed_rules: int
 
 
+@dataclass(frozen=True)
+class RecommendationReport:
+    """Rows of the three tables, of the two top lists and of the result."""
+
+    seller_catalog: int
+    company_sales: int
+    competitor_sales: int
+    company_top_items: int
+    competitor_top_items: int
+    recommendations: int
+
+
 def flat_quarantine(quarantine: DataFrame) -> DataFrame:
     """CSV has no nested columns: the raw values get columns of their own."""
     if RAW not in quarantine.columns:
@@ -53,11 +73,11 @@ def ingest(
     so they agree and the text is parsed one time. The table is left alone if no row is good.
     """
     with Staging(spark) as staging:
-        raw = read_text(spark, paths.input)
+        raw = read_text(spark, paths.input, options.line_breaks)
         if paths.bronze:
             raw.write.mode("overwrite").parquet(paths.bronze)
             raw = spark.read.parquet(paths.bronze)
-        cleaned = clean(raw, spec, options.dates, options.keep_raw)
+        cleaned = clean(raw, spec, options.dates, options.keep_raw, options.as_of)
         judged = staging.save(judge(cleaned, spec.rules, options.as_of, options.null_policy))
         report = IngestReport(*quality_metrics(judged).first())
         good = accepted(judged).select(*spec.columns)
@@ -66,13 +86,14 @@ def ingest(
             good.show(5, truncate=False)
         if report.good_rows:
             if options.write == "upsert" and table_exists(spark, paths.table):
-                upsert_table(
-                    good, paths.table, spec, staging, options.table_format, options.evolve
-                )
+                upsert_table(good, paths.table, spec, options.table_format, options.evolve)
             else:
                 write_table(good, paths.table, spec, options.table_format)
         bad = rejected(judged, distinct_rows=spec.one_row_per_key_before_rules)
-        write_text(flat_quarantine(bad), paths.quarantine)
+        if options.quarantine_format == "parquet":
+            bad.write.mode("overwrite").parquet(paths.quarantine)
+        else:
+            write_text(flat_quarantine(bad), paths.quarantine)
     return report
 
 
@@ -92,28 +113,59 @@ def recommendations(
         staging,
         price_basis=options.price_basis,
     )
+    return _declared(found)
+
+
+def _declared(found: DataFrame) -> DataFrame:
     return found.select(*[F.col(f.name).cast(f.dataType) for f in RECOMMENDATION_SCHEMA])
 
 
+def _counted(**parts: DataFrame) -> DataFrame:
+    """One row with the number of rows of each part, in one job."""
+    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("part"), "n") for k, df in parts.items()]
+    return reduce(DataFrame.unionByName, counts).groupBy().pivot("part", list(parts)).sum("n")
+
+
+def recommend_with_report(
+    tables: Mapping[str, DataFrame], staging: Staging, options: Options = Options()
+) -> tuple[DataFrame, DataFrame]:
+    """The result, and one row of counts of what it was made of; both start from the staged top
+    lists and the staged result, so nothing is computed for the counts alone."""
+    items = item_dimension(tables["seller_catalog"], unit_price=options.price_basis == "unit")
+    company = staging.save(company_top_items(tables["company_sales"], items, options.top_n))
+    competitor = staging.save(competitor_top_items(tables["competitor_sales"], items, options.top_n))
+    found = recommend(
+        tables["seller_catalog"], company, competitor, staging, price_basis=options.price_basis
+    )
+    result = staging.save(_declared(found))
+    counts = _counted(
+        **tables, company_top_items=company, competitor_top_items=competitor, recommendations=result
+    )
+    return result, counts
+
+
 def run_recommendation(
     spark: SparkSession, paths: ResultPaths, options: Options = Options(), preview: bool = False
-) -> None:
+) -> RecommendationReport:
     """Writes the result as CSV; an empty result replaces an older one."""
     tables = {n: read_table(spark, p, options.table_format) for n, p in paths.tables.items()}
     with Staging(spark) as staging:
-        result = recommendations(**tables, staging=staging, options=options)
+        result, counts = recommend_with_report(tables, staging, options)
         if preview:
             result.show(10, truncate=False)
         write_text(result, paths.output)
+        return RecommendationReport(**counts.first().asDict())
 
 
 def run_all(
     spark: SparkSession, config: JobConfig, preview: bool = False
-) -> dict[str, IngestReport]:
+) -> dict[str, IngestReport | RecommendationReport]:
     """The three ingests, then the recommendations; the first failure ends the run."""
-    reports = {}
+    reports: dict[str, IngestReport | RecommendationReport] = {}
     for name, paths in config.datasets.items():
         reports[name] = ingest(spark, DATASETS[name], paths, config.options, preview)
     if config.result is not None:
-        run_recommendation(spark, config.result, config.options, preview)
+        reports[RESULT_SECTION] = run_recommendation(
+            spark, config.result, config.options, preview
+        )
     return reports

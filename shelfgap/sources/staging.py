@@ -6,40 +6,31 @@ often it is read, and gives the planner its true size.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_roots: dict[str, str] = {}
 
 
-def _shared_root(spark: SparkSession) -> str:
+def shared_root(spark: SparkSession) -> str:
+    """The folder that the session names for such files, else one in the warehouse, which all
+    executors reach as well."""
     configured = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {_SETTING} to a folder that every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="shelfgap-")
-        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
-    return _local_roots[app]
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging"
 
 
 class Staging:
-    """A folder of its own under the shared one.
+    """A folder of its own under ``root``, or under the session's shared folder.
 
-    As a context manager it removes the folder at the end; otherwise the owner of a lazy result
-    calls ``clear`` once the result has been written.
+    As a context manager it removes the folder at the end, but keeps it after an error, so that
+    what was written can be looked at or taken over; otherwise the owner of a lazy result calls
+    ``clear`` once the result has been written.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = f"{_shared_root(spark).rstrip('/')}/shelfgap-{uuid.uuid4().hex}"
+        self.root = f"{(root or shared_root(spark)).rstrip('/')}/shelfgap-{uuid.uuid4().hex}"
 
     def new_path(self) -> str:
         return f"{self.root}/{uuid.uuid4().hex}"
@@ -58,5 +49,6 @@ class Staging:
     def __enter__(self) -> Staging:
         return self
 
-    def __exit__(self, *_exc: object) -> None:
-        self.clear()
+    def __exit__(self, kind: object, *_exc: object) -> None:
+        if kind is None:
+            self.clear()

@@ -1,15 +1,27 @@
-"""Keyed tables: one row per business key, replaced or merged as a whole."""
+"""Keyed tables: one row per business key, replaced or merged.
+
+A Parquet table is a folder of versions. A version is written to a folder of its own and holds the
+buckets of keys that it changes; a small numbered list in ``_versions`` then names, for each
+bucket, the folder that holds it now. Readers follow the last list, so a write that fails leaves
+the former rows readable, and folders that no list names are removed only after the switch.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfgap.operators.keyed import latest_per_key, merge_latest, merge_small
-from shelfgap.sources.staging import Staging
+from shelfgap.operators.keyed import latest_per_key, merge_latest
 from shelfgap.specs import DatasetSpec
 
 DEFAULT_FORMAT = "parquet"
-SMALL_DELTA_ROWS = 100_000  # rows that every executor can hold
+BUCKETS = 16  # of a new table; a table keeps its number
+_LISTS = "_versions"
+_BUCKET = "_bucket"
 
 
 def _options(spec: DatasetSpec, table_format: str) -> dict[str, str]:
@@ -26,49 +38,164 @@ def _options(spec: DatasetSpec, table_format: str) -> dict[str, str]:
     }
 
 
-def read_table(spark: SparkSession, path: str, table_format: str = DEFAULT_FORMAT) -> DataFrame:
-    return spark.read.format(table_format).load(path)
+class _Folder:
+    """Small files and names under a path, on whatever file system holds it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        self._io = spark.sparkContext._jvm.org.apache.commons.io.IOUtils
+        self.path = path.rstrip("/")
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._at("").getFileSystem(conf)
+
+    def _at(self, name: str):
+        return self._hadoop.Path(f"{self.path}/{name}" if name else self.path)
+
+    def exists(self, name: str = "") -> bool:
+        return self._fs.exists(self._at(name))
+
+    def names(self, name: str = "") -> list[str]:
+        if not self.exists(name):
+            return []
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at(name)))
+
+    def read(self, name: str) -> str:
+        stream = self._fs.open(self._at(name))
+        try:
+            return self._io.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def publish(self, name: str, text: str) -> None:
+        """The file appears whole or not at all, and never over another one."""
+        hidden = f"{_LISTS}/.{uuid.uuid4().hex}"
+        stream = self._fs.create(self._at(hidden), False)
+        try:
+            self._io.write(text, stream, "UTF-8")
+        finally:
+            stream.close()
+        if self.exists(name) or not self._fs.rename(self._at(hidden), self._at(name)):
+            raise RuntimeError(f"another writer has changed {self.path} meanwhile")
+
+    def remove(self, name: str) -> None:
+        self._fs.delete(self._at(name), True)
+
+
+def _last_list(folder: _Folder) -> tuple[int, dict] | None:
+    numbers = [int(n.removesuffix(".json")) for n in folder.names(_LISTS) if n.endswith(".json")]
+    if not numbers:
+        return None
+    return max(numbers), json.loads(folder.read(f"{_LISTS}/{max(numbers):010d}.json"))
+
+
+def _commit(folder: _Folder, number: int, content: dict) -> None:
+    folder.publish(f"{_LISTS}/{number:010d}.json", json.dumps(content))
+    places = set(content["places"].values())
+    versions = {place.split("/")[0] for place in places}
+    for name in folder.names():
+        if name == _LISTS:
+            continue
+        if name not in versions:
+            folder.remove(name)
+            continue
+        for bucket in folder.names(name):
+            if bucket.startswith(f"{_BUCKET}=") and f"{name}/{bucket}" not in places:
+                folder.remove(f"{name}/{bucket}")
+    for name in folder.names(_LISTS):
+        if name.endswith(".json") and name < f"{number:010d}.json":
+            folder.remove(f"{_LISTS}/{name}")
+
+
+def _bucket(key: tuple[str, ...], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
+def _write_version(df: DataFrame, folder: _Folder) -> dict[str, str]:
+    """Writes rows that have a bucket and are dealt by it; returns each bucket's folder."""
+    version = f"v-{uuid.uuid4().hex}"
+    df.write.partitionBy(_BUCKET).parquet(f"{folder.path}/{version}")
+    found = [n for n in folder.names(version) if n.startswith(f"{_BUCKET}=")]
+    return {n.split("=")[1]: f"{version}/{n}" for n in found}
+
+
+def _read_buckets(spark: SparkSession, path: str, content: dict, buckets: list[str]) -> DataFrame:
+    schema = T.StructType.fromJson(content["schema"])
+    places = [f"{path.rstrip('/')}/{content['places'][b]}" for b in buckets]
+    if not places:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*places)
 
 
-def _replace(df: DataFrame, path: str, spec: DatasetSpec, table_format: str) -> None:
-    writer = df.write.format(table_format).options(**_options(spec, table_format))
-    writer.mode("overwrite").save(path)
+def read_table(spark: SparkSession, path: str, table_format: str = DEFAULT_FORMAT) -> DataFrame:
+    """The table as its last complete write left it; a plain folder of Parquet files is read as
+    it is."""
+    if table_format == DEFAULT_FORMAT:
+        found = _last_list(_Folder(spark, path))
+        if found:
+            return _read_buckets(spark, path, found[1], sorted(found[1]["places"]))
+    return spark.read.format(table_format).load(path)
 
 
 def write_table(
-    df: DataFrame, path: str, spec: DatasetSpec, table_format: str = DEFAULT_FORMAT
+    df: DataFrame,
+    path: str,
+    spec: DatasetSpec,
+    table_format: str = DEFAULT_FORMAT,
+    buckets: int = BUCKETS,
 ) -> None:
-    """Replaces the table by the newest row per key. Datasets that are already reduced to one
-    row per key are not shuffled again."""
+    """Replaces the table by the newest row per key."""
     if not spec.one_row_per_key_before_rules:
-        df = latest_per_key(df, spec.key, spec.version)
-    _replace(df, path, spec, table_format)
+        df = latest_per_key(df, spec.key, spec.version, spec.nearly_unique_key)
+    if table_format != DEFAULT_FORMAT:
+        writer = df.write.format(table_format).options(**_options(spec, table_format))
+        writer.mode("overwrite").save(path)
+        return
+    folder = _Folder(df.sparkSession, path)
+    before = _last_list(folder)
+    dealt = df.withColumn(_BUCKET, _bucket(spec.key, buckets)).repartition(_BUCKET)
+    places = _write_version(dealt, folder)
+    content = {"schema": df.schema.jsonValue(), "buckets": buckets, "places": places}
+    _commit(folder, before[0] + 1 if before else 1, content)
 
 
 def upsert_table(
     incoming: DataFrame,
     path: str,
     spec: DatasetSpec,
-    staging: Staging,
     table_format: str = DEFAULT_FORMAT,
     evolve: bool = False,
-    small_delta_rows: int = SMALL_DELTA_ROWS,
 ) -> None:
-    """Merges rows into the table, without a shuffle of the table if they are counted as few.
+    """Merges rows into the table: the newest row per key of both.
 
-    The merged rows are staged first, as a path cannot be replaced while it is read, and so
-    survive a failed replacement.
+    Only the buckets that the incoming rows touch are read and written, once; the others stay
+    where they are. Which buckets those are is one small aggregate over the incoming rows.
     """
-    existing = read_table(staging.spark, path, table_format)
-    if table_format == "hudi":
+    spark = incoming.sparkSession
+    if table_format != DEFAULT_FORMAT:
+        existing = read_table(spark, path, table_format)
         existing = existing.select(*[c for c in existing.columns if not c.startswith("_hoodie_")])
-    incoming = staging.save(incoming)
-    merge = merge_small if incoming.count() <= small_delta_rows else merge_latest
-    merged = merge(existing, incoming, spec.key, spec.version, evolve)
-    _replace(staging.save(merged), path, spec, table_format)
+        merged = merge_latest(existing, incoming, spec.key, spec.version, evolve)
+        writer = merged.write.format(table_format).options(**_options(spec, table_format))
+        writer.mode("overwrite").save(path)
+        return
+    folder = _Folder(spark, path)
+    found = _last_list(folder)
+    if found is None:  # a plain folder becomes a table first
+        write_table(read_table(spark, path), f"{path.rstrip('/')}", spec)
+        found = _last_list(folder)
+    number, content = found
+    bucket = _bucket(spec.key, content["buckets"])
+    touched = {str(r[0]) for r in incoming.select(bucket).distinct().collect()}
+    kept = sorted(touched & set(content["places"]))
+    existing = _read_buckets(spark, path, content, kept)
+    both = existing.unionByName(incoming, allowMissingColumns=evolve)
+    schema = both.schema
+    dealt = both.withColumn(_BUCKET, bucket).repartition(_BUCKET)
+    merged = latest_per_key(dealt, (_BUCKET, *spec.key), spec.version, spec.nearly_unique_key)
+    places = {**content["places"], **_write_version(merged, folder)}
+    content = {"schema": schema.jsonValue(), "buckets": content["buckets"], "places": places}
+    _commit(folder, number + 1, content)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return folder.getFileSystem(conf).exists(folder)
+    return _Folder(spark, path).exists()

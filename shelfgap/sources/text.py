@@ -5,17 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_text(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text, named by the header; blanks around values stay, empty is NULL."""
-    return spark.read.option("header", True).csv(path)
+def read_text(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+    """Every column as text, named by the header; blanks around values stay, an empty value is
+    NULL and a quoted empty one is ''.
+
+    ``line_breaks`` allows them within quotes. A file is then read by one task, so it is only for
+    many files of moderate size.
+    """
+    reader = spark.read.option("header", True).option("emptyValue", "").option("nullValue", None)
+    return reader.option("multiLine", line_breaks).option("escape", '"').csv(path)
 
 
 def write_text(df: DataFrame, path: str) -> None:
-    """Replaces the folder; each task writes its own part, values are kept as they are."""
+    """Replaces the folder; each task writes its own part, values are kept as they are. '' is
+    quoted, so it stays apart from NULL."""
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("emptyValue", '""')
+        .option("escape", '"')
         .csv(path)
     )

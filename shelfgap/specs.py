@@ -52,6 +52,7 @@ class DatasetSpec:
     version: str
     rules: tuple[Rule, ...]
     one_row_per_key_before_rules: bool
+    nearly_unique_key: bool = False  # few rows share a key
     labels: Mapping[str, str] = field(default_factory=dict)
 
     @property
@@ -108,6 +109,7 @@ SELLER_CATALOG = DatasetSpec(
         present("category"),
     ),
     one_row_per_key_before_rules=True,
+    nearly_unique_key=True,
     labels=CATEGORY_LABELS,
 )
 
@@ -151,6 +153,7 @@ COMPETITOR_SALES = DatasetSpec(
         dated_by("sale_date"),
     ),
     one_row_per_key_before_rules=False,
+    nearly_unique_key=True,
 )
 
 DATASETS = {s.name: s for s in (SELLER_CATALOG, COMPANY_SALES, COMPETITOR_SALES)}

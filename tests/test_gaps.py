@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfgap.operators import gaps, scoring
-from shelfgap.operators.scoring import best_per_seller, find_gaps, recommend, score_company
+from shelfgap.operators.scoring import best_per_seller, recommend, score_company, scored_gaps
 from shelfgap.operators.scoring import score_competitor
 from shelfgap.sources.staging import Staging
 
@@ -36,40 +36,34 @@ def brute(pairs, items, n=None):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("mask_items", [0, gaps.MASK_ITEMS])
-@pytest.mark.parametrize("size, share", [(0, 0.5), (1, 0.5), (63, 0.9), (64, 0.97), (150, 0.6)])
-def test_gaps_equal_brute_force(spark, size, share, mask_items):
-    items = [f"i{k:03}" for k in range(size)]
+@pytest.mark.parametrize("n", [1, 10, 70])
+@pytest.mark.parametrize(
+    "size, share", [(0, 0.5), (1, 0.5), (63, 0.9), (64, 0.97), (150, 0.6), (700, 0.99), (2500, 0.999)]
+)
+def test_gaps_equal_brute_force(spark, size, share, n):
+    items = [f"i{k:04}" for k in range(size)]
     pairs = random_pairs(size, [f"s{k}" for k in range(12)], items, share)
     pairs += [("all", i) for i in items] + [("all", "elsewhere"), ("none", "elsewhere")]
-    catalog, ranked, staging = catalog_of(spark, pairs), numbered(spark, items), Staging(spark)
+    pairs += [("ends", i) for i in items[:64] + items[-64:]] + [("middle", i) for i in items[64:300]]
+    ranked = numbered(spark, items)
     assert ranked.size == size
-    first = gaps.first_gaps(catalog, ranked, 10, staging, mask_items)
-    assert rows(first) == brute(pairs, items, 10)
-    every = gaps.all_gaps(catalog, ranked, staging, mask_items)
-    assert rows(every) == brute(pairs, items)
+    assert rows(gaps.first_gaps(catalog_of(spark, pairs), ranked, n)) == brute(pairs, items, n)
 
 
-@pytest.mark.parametrize("mask_items", [0, gaps.MASK_ITEMS])
-def test_seller_that_lists_a_third_of_everything(spark, mask_items):
+def test_seller_that_lists_a_third_of_everything(spark):
     items = [f"i{k:04}" for k in range(700)]
     pairs = [("hot", i) for i in items if i != "i0555"] + [("s", "i0001"), ("s", "x")]
     catalog = catalog_of(spark, pairs + pairs).repartition(6)
-    ranked, staging = numbered(spark, items), Staging(spark)
-    first = gaps.first_gaps(catalog, ranked, 10, staging, mask_items)
-    assert rows(first) == brute(pairs, items, 10)
+    assert rows(gaps.first_gaps(catalog, numbered(spark, items), 10)) == brute(pairs, items, 10)
 
 
-@pytest.mark.parametrize("mask_items", [0, gaps.MASK_ITEMS])
-def test_null_seller_lists_nothing(spark, mask_items):
+def test_null_seller_lists_nothing(spark):
     items = ["a", "b", "c"]
     catalog, ranked = catalog_of(spark, [(None, "a"), ("s", "b")]), numbered(spark, items)
-    staging = Staging(spark)
     want = sorted(
         [(None, i, i.upper()) for i in items] + [("s", "a", "A"), ("s", "c", "C")], key=str
     )
-    assert rows(gaps.first_gaps(catalog, ranked, 10, staging, mask_items)) == want
-    assert rows(gaps.all_gaps(catalog, ranked, staging, mask_items)) == want
+    assert rows(gaps.first_gaps(catalog, ranked, 10)) == want
 
 
 def test_numbers_over_many_range_partitions(spark):
@@ -93,11 +87,8 @@ def test_without_broadcasts(spark):
     try:
         items = [f"i{k:03}" for k in range(130)]
         pairs = random_pairs(5, [f"s{k}" for k in range(9)], items, 0.8)
-        catalog, ranked, staging = catalog_of(spark, pairs), numbered(spark, items), Staging(spark)
-        first = gaps.first_gaps(catalog, ranked, 10, staging, 0)
-        every = gaps.all_gaps(catalog, ranked, staging, 0)
+        first = gaps.first_gaps(catalog_of(spark, pairs), numbered(spark, items), 10)
         assert rows(first) == brute(pairs, items, 10)
-        assert rows(every) == brute(pairs, items)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
@@ -150,12 +141,10 @@ def test_recommendations_from_both_sources(spark):
         ],
         key=str,
     )
-    # The same rows by way of every scored gap.
-    staging = Staging(spark)
-    scored = score_company(find_gaps(catalog, company, "company", staging)).unionByName(
-        score_competitor(find_gaps(catalog, competitor, "competitor", staging))
-    )
-    assert rows(best_per_seller(scored)) == rows(got)
+    # The same rows by way of the best of either source.
+    own, others = score_company(company), score_competitor(competitor)
+    each = [scored_gaps(catalog, scored, Staging(spark)) for scored in (own, others)]
+    assert rows(best_per_seller(each[0].unionByName(each[1]))) == rows(got)
 
 
 def test_ties_go_to_the_smaller_item(spark):

@@ -6,7 +6,8 @@ import yaml
 
 from shelfgap.__main__ import main
 from shelfgap.plans.config import parse_config
-from shelfgap.plans.jobs import run_all, run_recommendation
+from shelfgap.plans.jobs import RecommendationReport, run_all, run_recommendation
+from shelfgap.sources.tables import read_table
 from shelfgap.specs import RECOMMENDATION_SCHEMA
 
 CATALOG = """seller_id,item_id,item_name,category,marketplace_price,stock_qty,extra
@@ -72,9 +73,9 @@ WANT = sorted(
 
 def test_whole_run(spark, job):
     tmp_path, content = job
-    # The sale dated 2999 would win its key, so the day is the only thing that rejects it.
-    (tmp_path / "company_sales.csv").write_text(COMPANY.replace("2999-01-01", "2023-01-01"))
+    # The sale dated 2999 does not take the valid one of its item with it.
     reports = run_all(spark, parse_config(content))
+    assert reports["recommendation"] == RecommendationReport(3, 4, 3, 3, 2, len(WANT))
     catalog = reports["seller_catalog"]
     assert (catalog.input_rows, catalog.good_rows, catalog.rejected_rows) == (5, 3, 2)
     assert reports["competitor_sales"].rejected_rows == 1
@@ -113,7 +114,7 @@ def test_no_good_rows_leave_the_table_alone(spark, job):
     reports = run_all(spark, parse_config(content))
     assert reports["company_sales"].input_rows == 0
     table = f"{tmp_path}/processed/company_sales_hudi"
-    assert spark.read.parquet(table).count() > 0
+    assert read_table(spark, table).count() > 0
 
 
 def test_options(spark, job):
@@ -129,7 +130,8 @@ def test_options(spark, job):
     }
     config = parse_config(content)
     reports = run_all(spark, config)
-    assert reports["company_sales"].rejected_rows == 2  # unpadded date, date in the future
+    # The unpadded date; of the two rows of i5 the valid one is kept.
+    assert reports["company_sales"].rejected_rows == 1
     assert reports["competitor_sales"].rejected_rows == 3
     assert spark.read.parquet(f"{tmp_path}/bronze/seller_catalog").count() == 6
     quarantine = spark.read.option("header", True).csv(
@@ -141,10 +143,10 @@ def test_options(spark, job):
         "item_id,units_sold,revenue,sale_date\ni1,9,1.0,2024-01-20\nnew,1,1.0,2024-01-20\n"
     )
     run_all(spark, config)
-    table = spark.read.parquet(f"{tmp_path}/processed/company_sales_hudi")
+    table = read_table(spark, f"{tmp_path}/processed/company_sales_hudi")
     got = {(r.item_id, r.units_sold, r.sale_date) for r in table.collect()}
     day = datetime.date(2024, 1, 20)
-    assert {("i1", 9, day), ("new", 1, day)} <= got and len(got) == 3
+    assert {("i1", 9, day), ("new", 1, day)} <= got and len(got) == 4
 
 
 def test_command_line(spark, job, capsys):
@@ -163,3 +165,27 @@ def test_missing_input_fails(spark, job):
     content["company_sales"]["input_path"] = str(tmp_path / "absent.csv")
     with pytest.raises(Exception, match="absent"):
         run_all(spark, parse_config(content))
+
+
+def test_command_line_names_the_missing_section(spark, job, capsys):
+    tmp_path, content = job
+    del content["recommendation"], content["company_sales"]
+    path = tmp_path / "job.yml"
+    path.write_text(yaml.safe_dump(content))
+    for step in ("recommendation", "company_sales"):
+        with pytest.raises(SystemExit):
+            main(["--config", str(path), "--job", step])
+        assert step in capsys.readouterr().err
+
+
+def test_line_breaks_and_empty_values(spark, job):
+    tmp_path, content = job
+    text = CATALOG.replace("red MUG", '"red\nMUG"').replace("boot", '""')
+    (tmp_path / "seller_catalog.csv").write_text(text)
+    content["options"] = {"line_breaks": True, "quarantine_format": "parquet", "keep_raw": True}
+    content["seller_catalog"]["bronze_path"] = f"{tmp_path}/bronze"
+    report = run_all(spark, parse_config(content))["seller_catalog"]
+    assert report.input_rows == 5
+    assert spark.read.parquet(f"{tmp_path}/bronze").where("item_name = ''").count() == 1
+    quarantine = spark.read.parquet(f"{tmp_path}/quarantine/seller_catalog_quarantine")
+    assert {r.raw.item_name for r in quarantine.collect()} == {"", "shoe"}

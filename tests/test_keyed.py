@@ -1,11 +1,13 @@
+import glob
+import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from shelfgap.operators.keyed import latest_per_key, merge_latest, merge_small
+from shelfgap.operators.keyed import latest_per_key, merge_latest
 from shelfgap.operators.ranking import top_n_per_group
-from shelfgap.sources.staging import Staging
-from shelfgap.sources.tables import _options, read_table, upsert_table, write_table
+from shelfgap.sources.tables import BUCKETS, _options, read_table, upsert_table, write_table
 from shelfgap.specs import COMPETITOR_SALES
 
 SCHEMA = "seller_id string, item_id string, sale_date int, units int"
@@ -42,7 +44,17 @@ def brute_latest(data):
 def test_latest_per_key(spark):
     for seed in range(3):
         data = random_rows(seed, 80)
-        assert rows(latest_per_key(table(spark, data), KEY, "sale_date")) == brute_latest(data)
+        for nearly_unique in (False, True):
+            got = latest_per_key(table(spark, data), KEY, "sale_date", nearly_unique)
+            assert rows(got) == brute_latest(data)
+
+
+def test_a_condition_goes_before_the_version(spark):
+    data = [("s", "a", 9, 1), ("s", "a", 2, 2), ("s", "a", 1, 2), ("s", "b", 3, 1), ("s", "c", 1, None)]
+    want = [("s", "a", 2, 2), ("s", "b", 3, 1), ("s", "c", 1, None)]
+    for nearly_unique in (False, True):
+        got = latest_per_key(table(spark, data), KEY, "sale_date", nearly_unique, F.col("units") == 2)
+        assert rows(got) == want
 
 
 def test_null_keys_are_one_group(spark):
@@ -68,7 +80,6 @@ def test_merge_is_idempotent_and_order_free(spark):
     want = rows(merged)
     assert rows(merge_latest(new, old, KEY, "sale_date")) == want
     assert rows(merge_latest(merged, new, KEY, "sale_date")) == want
-    assert rows(merge_small(old, new, KEY, "sale_date")) == want
 
 
 def test_merge_with_new_and_missing_columns(spark):
@@ -78,19 +89,58 @@ def test_merge_with_new_and_missing_columns(spark):
     )
     want = [("s", "a", 2, None, "n"), ("s", "b", 5, 1, None), ("s", "c", 1, None, "n")]
     assert rows(merge_latest(old, new, KEY, "sale_date", evolve=True)) == want
-    assert rows(merge_small(old, new, KEY, "sale_date", evolve=True)) == want
-
-
-def test_upsert_both_ways(spark, tmp_path):
-    old, new = random_rows(3, 50), random_rows(4, 50)
-    for limit in (0, 1000):
-        path = str(tmp_path / f"table{limit}")
-        with Staging(spark) as staging:
-            write_table(table(spark, old), path, COMPETITOR_SALES)
-            upsert_table(
-                table(spark, new), path, COMPETITOR_SALES, staging, small_delta_rows=limit
-            )
-        assert rows(read_table(spark, path)) == brute_latest(old + new)
+
+
+@pytest.mark.parametrize("n", [1, 5, 500])
+def test_upsert_gives_the_same_whatever_the_size(spark, tmp_path, n):
+    """One row per key of both, also if the existing rows repeat keys."""
+    old, new = random_rows(3, 400, 40), random_rows(4, n, 40)
+    path = str(tmp_path / "table")
+    table(spark, old).write.parquet(path)  # a plain folder
+    upsert_table(table(spark, new), path, COMPETITOR_SALES)
+    assert rows(read_table(spark, path)) == brute_latest(old + new)
+    upsert_table(table(spark, old), path, COMPETITOR_SALES)
+    assert rows(read_table(spark, path)) == brute_latest(old + new)
+
+
+def test_upsert_with_new_columns(spark, tmp_path):
+    path = str(tmp_path / "table")
+    old = [(f"s{k}", "i", 1, k) for k in range(50)]
+    write_table(table(spark, old), path, COMPETITOR_SALES)
+    new = table(spark, [("s7", "i", 2, 0), ("new", "i", 1, 0)]).drop("units").withColumn("note", F.lit("n"))
+    upsert_table(new, path, COMPETITOR_SALES, evolve=True)
+    want = [(*r, None) for r in old if r[0] != "s7"] + [("s7", "i", 2, None, "n"), ("new", "i", 1, None, "n")]
+    assert rows(read_table(spark, path)) == sorted(want, key=str)
+
+
+def files_of(path):
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{path}/v-*/*/part-*.parquet")}
+
+
+def test_untouched_buckets_stay(spark, tmp_path):
+    path = str(tmp_path / "table")
+    write_table(table(spark, random_rows(1, 400, 40)), path, COMPETITOR_SALES)
+    before = files_of(path)
+    upsert_table(table(spark, [("s1", "i1", 99, 99)]), path, COMPETITOR_SALES)
+    after = files_of(path)
+    assert len(before) == len(after) == BUCKETS
+    assert sum(after.get(f) == t for f, t in before.items()) == BUCKETS - 1
+    assert ("s1", "i1", 99, 99) in rows(read_table(spark, path))
+
+
+@pytest.mark.parametrize("write", [write_table, lambda *a: upsert_table(*a)])
+def test_a_write_that_fails_leaves_the_former_rows(spark, tmp_path, write):
+    path = str(tmp_path / "table")
+    old = random_rows(1, 100)
+    write_table(table(spark, old), path, COMPETITOR_SALES)
+    units = F.when(F.col("units") == 2, F.raise_error(F.lit("broken off")).cast("int")).otherwise(F.col("units"))
+    broken = table(spark, random_rows(2, 200)).withColumn("units", units)
+    with pytest.raises(Exception, match="broken off"):
+        write(broken, path, COMPETITOR_SALES)
+    assert rows(read_table(spark, path)) == brute_latest(old)
+    upsert_table(table(spark, old), path, COMPETITOR_SALES)
+    assert rows(read_table(spark, path)) == brute_latest(old)
+    assert len(glob.glob(f"{path}/_versions/*.json")) == 1
 
 
 def test_top_n_ties_and_nulls(spark):

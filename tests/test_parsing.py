@@ -116,3 +116,18 @@ def test_filled(spark):
     assert evaluate(spark, ["NaN", "abc", "2.5", None], as_double) == [0.0, 0.0, 2.5, 0.0]
     as_int = lambda c: parsing.filled(parsing.to_int(c), 0)
     assert evaluate(spark, ["x", "7", None], as_int) == [0, 7, 0]
+
+
+def test_no_caps(spark):
+    """Leading zeros without limit, hexadecimal fractions and far years, as a plain cast takes them."""
+    zeros = "0" * 30
+    texts = [f"{zeros}12", f"+{zeros}12.7", f"-{zeros}3.9", f"{zeros}3000000000", "1" * 25, "0x1p3",
+             " -0X1.8p1d ", "0x1", "12345-01-02", "12345-1-2 x", "0012345-01-02", "12345678-01-01"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    got = df.select(
+        parsing.to_int(t).alias("i"), parsing.to_double(t).alias("d"), parsing.to_day(t).cast("string").alias("y")
+    ).collect()
+    assert [r.i for r in got[:5]] == [12, 12, -3, None, None]
+    assert [r.d for r in got[5:8]] == [8.0, -3.0, None]
+    assert [r.y for r in got[8:]] == ["+12345-01-02", "+12345-01-02", "+12345-01-02", None]

@@ -5,11 +5,13 @@ import re
 import pytest
 
 import __spark_entry__ as contract
-from contract.views import Source
+from contract.registry import REGISTRY
+from contract.views import COMPETITOR_LINES, Source
 from shelfgap.operators import toplists
 from shelfgap.operators.cleaning import typed
-from shelfgap.operators.keyed import latest_per_key, merge_small
+from shelfgap.operators.keyed import latest_per_key
 from shelfgap.operators.quality import split
+from shelfgap.sources import tables
 from shelfgap.specs import COMPETITOR_SALES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -28,14 +30,14 @@ def count(pattern, text):
     return len(re.findall(pattern, text))
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_no_query_pairs_everything(spark, name):
-    text = plan(contract.queries()[name](spark, SF_DIR))
+    text = plan(REGISTRY[name](spark, SF_DIR))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     assert "Python" not in text and "InPandas" not in text
     # Windows are split by group, so no task gets a whole table.
-    assert "Exchange SinglePartition" not in text or name == "dq_metrics"
+    assert "Exchange SinglePartition" not in text or name in ("dq_metrics", "recommendation_counts")
 
 
 def test_quarantine_reads_its_input_once(src):
@@ -60,29 +62,43 @@ def test_latest_row_is_combined_before_the_shuffle(src):
 
 
 def test_scans_read_needed_columns_and_filter_early(spark):
-    text = plan(contract.queries()["seller_universe"](spark, SF_DIR))
+    text = plan(REGISTRY["seller_universe"](spark, SF_DIR))
     schema = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     assert all("p_name" not in columns for columns in schema)
-    text = plan(contract.queries()["company_top_items"](spark, SF_DIR))
+    text = plan(REGISTRY["company_top_items"](spark, SF_DIR))
     assert "EqualTo(l_returnflag,N)" in text
 
 
-def test_recommendations_shuffle_one_row_per_seller_and_task(spark):
-    text = plan(contract.queries()["recommendations"](spark, SF_DIR))
+def test_recommendations_combine_listings_before_the_shuffle(spark):
+    text = plan(REGISTRY["recommendations"](spark, SF_DIR))
     assert "partial_bit_or" in text
-    assert count("BroadcastHashJoin", text) >= 2
-    assert "SortMergeJoin" not in text
 
 
-def test_small_upsert_does_not_shuffle_the_table(spark, src, tmp_path):
+def test_long_lists_have_the_same_plan(spark):
+    def operators(name):
+        return re.findall(r"(\w+(?:Join|Aggregate|Window)\w*) ", plan(REGISTRY[name](spark, SF_DIR)))
+
+    assert operators("recommendations") == operators("recommendations_long_list")
+
+
+def test_every_line_plays_a_role(src):
+    lines = src.table("lineitem")
+    roles = ["l_returnflag = 'A' and l_linestatus = 'F'", "l_returnflag = 'N'", COMPETITOR_LINES]
+    assert sum(lines.filter(role).count() for role in roles) == lines.count()
+
+
+def test_gaps_per_seller_and_source_are_bounded(spark):
+    found = REGISTRY["all_scored_candidates"](spark, SF_DIR)
+    assert found.groupBy("seller_id", "source").count().agg({"count": "max"}).first()[0] <= 10
+
+
+def test_upsert_reads_touched_buckets_only(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "table")
-    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    src.table("lineitem").dropDuplicates(key).write.parquet(path)
-    existing = spark.read.parquet(path)
-    incoming = existing.limit(20)
-    text = plan(merge_small(existing, incoming, key, "l_shipdate"))
-    # The rows of the table meet the incoming ones where they are scanned.
-    kept = text.split("BroadcastExchange")[0]
-    assert "BroadcastHashJoin" in kept and "LeftOuter" in kept
-    assert "Exchange" not in kept.replace("BroadcastExchange", "")
-    assert "SortMergeJoin" not in kept
+    rows = spark.range(400).selectExpr("string(id) seller_id", "'i' item_id", "int(id) sale_date")
+    tables.write_table(rows, path, COMPETITOR_SALES)
+    read, opened = tables._read_buckets, []
+    monkeypatch.setattr(
+        tables, "_read_buckets", lambda *a: (opened.append(a[3]), read(*a))[1]
+    )
+    tables.upsert_table(rows.limit(1), path, COMPETITOR_SALES)
+    assert [len(b) for b in opened] == [1]

@@ -15,25 +15,32 @@ def test_uses_the_folder_of_the_session(spark):
     assert not os.path.exists(staged.root)
 
 
+def test_uses_the_folder_that_is_given(spark, tmp_path):
+    with Staging(spark, str(tmp_path)) as staged:
+        assert staged.root.startswith(str(tmp_path))
+
+
+def test_is_kept_after_an_error(spark, tmp_path):
+    with pytest.raises(ValueError), Staging(spark, str(tmp_path)) as staged:
+        saved = staged.save(spark.range(5))
+        raise ValueError
+    assert saved.count() == 5
+    staged.clear()
+    assert not os.path.exists(staged.root)
+
+
 class _Session:
     """A session without the setting, as far as the folder is concerned."""
 
-    def __init__(self, master):
-        self.master = master
-        self.applicationId = "app"
+    def __init__(self):
         self.conf = self.sparkContext = self
 
-    def get(self, _name, default):
-        return default
+    def get(self, name, default=None):
+        return "/warehouse" if name == "spark.sql.warehouse.dir" else default
 
     def getCheckpointDir(self):
         return None
 
 
-def test_a_cluster_has_to_name_the_folder():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging._shared_root(_Session("yarn"))
-
-
-def test_local_mode_makes_its_own_folder():
-    assert os.path.isdir(staging._shared_root(_Session("local[2]")))
+def test_without_the_setting_the_warehouse_holds_it():
+    assert staging.shared_root(_Session()) == "/warehouse/_staging"
