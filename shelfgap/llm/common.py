@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,3 +66,22 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+_CODE = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def with_code(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``function``, whose first argument is the session, with Python workers that look for this
+    package where the driver has it. A cluster whose machines do not have it there gets it by
+    ``--py-files``."""
+
+    @wraps(function)
+    def run(spark: SparkSession, *args: object) -> DataFrame:
+        env = spark.sparkContext.environment
+        paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if _CODE not in paths:
+            env["PYTHONPATH"] = os.pathsep.join([_CODE, *paths])
+        return function(spark, *args)
+
+    return run

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfgap.llm import chat, decontaminate, fingerprints, language, mixing, quality, records, simhash_tiles, substring, urls
-from shelfgap.llm.common import new_dir, staged
+from shelfgap.llm.common import new_dir, staged, with_code
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -99,14 +99,17 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_decontamination": op1_decontamination,
-    "op2_substring_dedup": op2_substring_dedup,
-    "op3_token_records": op3_token_records,
-    "op4_quality": op4_quality,
-    "op5_chat_windows": op5_chat_windows,
-    "op6_language": op6_language,
-    "op7_near_duplicates": op7_near_duplicates,
-    "op8_source_mix": op8_source_mix,
-    "op9_simhash": op9_simhash,
-    "op10_url_verdicts": op10_url_verdicts,
+    query.__name__: with_code(query)
+    for query in (
+        op1_decontamination,
+        op2_substring_dedup,
+        op3_token_records,
+        op4_quality,
+        op5_chat_windows,
+        op6_language,
+        op7_near_duplicates,
+        op8_source_mix,
+        op9_simhash,
+        op10_url_verdicts,
+    )
 }
