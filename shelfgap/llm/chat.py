@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfgap.llm.common import staged
+
 BEGIN, END = "<|im_start|>", "<|im_end|>\n"  # fixed values of the template
 _TOKEN = r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 _TURN_TOKENS = 4  # of the template itself
@@ -109,7 +111,8 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
     are one conversation. A turn longer than the budget has a window of its own, uncut. An empty
     table gives an empty result. Other columns are ignored.
     """
-    placed = _placed(turns, budget, history)
+    # Four branches read this; staged, the texts are not shuffled for each of them.
+    placed = staged(_placed(turns, budget, history), "turns")
     piece = F.concat(
         F.lit(BEGIN), _escape_role(F.col("role")), F.lit("\n"), escape(F.col("text")), F.lit(END)
     )
