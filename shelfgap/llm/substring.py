@@ -339,7 +339,8 @@ def _later_runs(dealt: DataFrame, marks: DataFrame, hot: np.ndarray, parts: int,
         if waiting:
             yield from grow(pa.Table.from_batches(waiting))
 
-    rows = dealt.join(marks, "key", "left").select("doc", "key", "copy", "places", "text")
+    # All columns are read, as the other join does, so that Spark finds the same shuffle in both.
+    rows = dealt.join(marks, "key", "left").select("doc", "key", "has_id", "copy", "places", "text")
     sent = rows.mapInArrow(pieces, "part long, doc long, key long, start int, n int, body binary")
     return sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(trees, RUNS)
 
@@ -371,10 +372,11 @@ def drop_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text"
         _later_copies(rows).select("key", F.lit(None).cast("int"), F.lit(True))
     )
     marks = marks.groupBy("key").agg(F.collect_list("place").alias("places"), F.max("copy").alias("copy"))
-    # Both joins read this one shuffle of the texts.
+    # Both joins are by key alone, so that they read this one shuffle of the texts; a key is a
+    # hash, and the runs say which document they are of.
     dealt = rows.repartition(parts, "key")
     runs = _later_runs(dealt, marks, hot, 2 * parts, min_words)
-    runs = runs.groupBy("key", "doc").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    runs = runs.groupBy("key").agg(F.collect_list(F.struct("doc", "start", "n")).alias("runs"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("first", pa.int32()), ("end", pa.int32())])
@@ -389,7 +391,8 @@ def drop_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text"
             for doc, has_id, runs, text in rows:
                 words = text.split()
                 gone = np.zeros(len(words) + 1, np.int64)
-                for run in runs or []:
+                runs = [run for run in runs or [] if run["doc"] == doc]
+                for run in runs:
                     gone[run["start"]] += 1
                     gone[run["start"] + run["n"] + min_words - 1] -= 1
                 covered = np.cumsum(gone)[:-1] > 0
@@ -402,7 +405,7 @@ def drop_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text"
             names = ["doc_id", "n_words", "n_removed", "kept_text", "removed"]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names)
 
-    kept = dealt.join(runs, ["key", "doc"], "left").select("doc", "has_id", "runs", "text")
+    kept = dealt.join(runs, "key", "left").select("doc", "key", "has_id", "runs", "text")
     return kept.mapInArrow(
         keep,
         "doc_id long, n_words long, n_removed long, kept_text binary, "
