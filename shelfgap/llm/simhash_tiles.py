@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from shelfgap.llm.common import free_name, staged
 from shelfgap.llm.components import connected_components
+from shelfgap.llm.shingle_sets import blocks_of, set_name, similar_pairs
+from shelfgap.llm.union import roots as _roots, unite
 
 SEED = 42
 TILE_ROWS = 1 << 15
@@ -87,26 +89,6 @@ def _matrix(column: list[bytes], words: int) -> np.ndarray:
     return np.frombuffer(b"".join(column), "<u8").reshape(-1, words)
 
 
-def _roots(labels: np.ndarray, of: np.ndarray) -> np.ndarray:
-    found = labels[of]
-    while True:
-        above = labels[found]
-        if np.array_equal(above, found):
-            return found
-        found = above
-
-
-def unite(labels: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
-    """Joins the classes of u[k] and v[k] for all k; ``labels`` points to smaller members."""
-    while True:
-        a, b = _roots(labels, u), _roots(labels, v)
-        differ = a != b
-        if not differ.any():
-            return
-        u, v, a, b = u[differ], v[differ], a[differ], b[differ]
-        np.minimum.at(labels, np.maximum(a, b), np.minimum(a, b))
-
-
 def _quarters(first: np.ndarray) -> np.ndarray:
     """Population counts of the four quarters of the leading 64 bits."""
     parts = np.ascontiguousarray(first).view("<u2").reshape(-1, 4)
@@ -250,29 +232,95 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, text: st
     return found.select("doc_id", big_endian.alias("fingerprint"), "component_id")
 
 
+def set_prints(docs: DataFrame, shingle: int, words: int, text: str = "text") -> DataFrame:
+    """doc_id, text_hash, node (16 bytes that name the set of shingles), fingerprint (8 x ``words``
+    bytes, of the set) and n (shingles in the set) of every row."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = (np.unique(shingle_hashes(t.as_py() or b"", shingle)) for t in batch.column(2))
+            found = [(set_name(s), fingerprint_of(s, words), len(s)) for s in sets]
+            node, prints, n = list(zip(*found)) or [()] * 3
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(node, pa.binary()),
+                    pa.array(prints, pa.binary()),
+                    pa.array(n, pa.int64()),
+                ],
+                ["doc_id", "text_hash", "node", "fingerprint", "n"],
+            )
+
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(text).alias("text_hash"),
+        F.col(text).cast("binary").alias("text"),
+    )
+    return rows.mapInArrow(compute, "doc_id long, text_hash long, node binary, fingerprint binary, n long")
+
+
+def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, text: str) -> DataFrame:
+    """near, blocks, node and shingles (the set as bytes) of every row of ``wanted``, once."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t.as_py() or b"", shingle)) for t in batch.column("text")]
+            shingles = pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
+            columns = [batch.column(c) for c in ("near", "blocks", "node")]
+            yield pa.RecordBatch.from_arrays([*columns, shingles], ["near", "blocks", "node", "shingles"])
+
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(text).alias("hash"),
+        F.col(text).cast("binary").alias("text"),
+    )
+    same = F.col("id").eqNullSafe(F.col("first.doc_id")) & (F.col("hash") == F.col("first.text_hash"))
+    rows = texts.join(wanted, same).select("near", "blocks", "node", "text")
+    sets = rows.mapInArrow(compute, "near binary, blocks long, node binary, shingles binary")
+    return sets.dropDuplicates(["node"])  # rows with the same doc_id and text
+
+
 def drop_near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
+    similarity: float = 0.8,
     words: int = 8,
-    radius: int = 90,
-    first_radius: int = 20,
+    radius: int = 115,
+    first_radius: int = 22,
     text: str = "text",
 ) -> DataFrame:
     """One row of each group of near duplicates: that of the smallest doc_id, NULL last.
 
-    Two texts of which the cosine of their shingle counts is c differ in about arccos(c) / pi of
-    the bits. A similarity of 0.8 (shared of all shingles) is 0.15, or 78 +- 8 of 512 bits, one of
-    0.7 is 98 +- 9; unrelated texts differ in half of them. Texts without words are one group. Of rows with the same doc_id
-    and text one stays. All columns are kept.
+    Two texts are near duplicates if their sets of word shingles share at least ``similarity`` of
+    all shingles of both; groups are connected by such pairs. Fingerprints only say which texts are
+    compared: those that ``radius`` connects, directly or through others. Two sets of which the
+    cosine is c differ in about arccos(c) / pi of the bits. A similarity of 0.8 is a cosine of 0.89
+    at least and 78 +- 8 of 512 bits at most, one of 0.6 is 118 +- 10; unrelated texts differ in
+    half of them. Texts with equal sets are one from the start, so are texts without words. Of rows
+    with the same doc_id and text one stays. All columns are kept.
     """
-    key = ["doc_id", "text_hash"]
-    prints = staged(fingerprints(docs, shingle, words, text), "prints")
-    found = prints.join(components(prints, radius, words, first_radius), "fingerprint")
+    prints = staged(set_prints(docs, shingle, words, text), "prints")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    kept = found.groupBy("component").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_hash")
+    nodes = staged(prints.groupBy("node", "fingerprint", "n").agg(F.min(order).alias("first")), "nodes")
+    distinct = staged(nodes.select("fingerprint").distinct(), "distinct")
+    near = connected_components(links(distinct, radius, words, first_radius))
+    near = near.select(F.col("node").alias("fingerprint"), "component")
+    placed = nodes.join(near, "fingerprint", "left")
+    placed = staged(placed.withColumn("near", F.coalesce("component", "fingerprint")), "placed")
+    sizes = placed.groupBy("near").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("n"))
+    sizes = sizes.where(F.col("members") > 1).select("near", blocks_of(F.col("n")).alias("blocks"))
+    # Staged before the join, so that Spark may split a large group.
+    wanted = placed.join(staged(sizes, "sizes"), "near").select("near", "blocks", "node", "first", "n")
+    wanted = staged(wanted, "wanted")
+    n = wanted.agg(F.sum("n").alias("n")).first()["n"] or 0
+    edges = similar_pairs(_sets_of(docs, wanted, shingle, text), similarity, n)
+    found = nodes.join(connected_components(edges), "node", "left")
+    found = found.withColumn("component", F.coalesce("component", "node"))
+    kept = found.groupBy("component").agg(F.min("first").alias("k")).select("k.doc_id", "k.text_hash")
     hashed = free_name(docs, "hash")
     rows = docs.withColumn(hashed, F.xxhash64(text))
     doc_id, of = free_name(rows, "kept_id"), free_name(rows, "kept_hash")
-    kept = kept.select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(of)).distinct()
+    kept = kept.select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(of))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (F.col(hashed) == F.col(of))
     return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", hashed]).drop(hashed)
