@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from shelfgap.llm.common import free_name
 
-# Each length of 14 to 20 tokens with a fifth of them substituted has a hit of one of these.
-MASKS = ("11111", "110111", "111101")
+# Every stretch of 8 to 25 tokens with at most a fifth of them substituted has a hit of one of these;
+# the last is for stretches of 10.
+MASKS = ("11111", "110111", "111101", "10001111")
 MIN_TOKENS = 8  # shorter items are no passages
 MIN_MATCHES = 12  # fewer for items of fewer tokens: four fifths of them
 MISMATCH = 4  # matches that make up for one mismatch: at least four fifths agree

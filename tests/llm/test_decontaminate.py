@@ -1,5 +1,7 @@
 import random
+from itertools import combinations
 
+import numpy as np
 import pytest
 
 from shelfgap.llm import decontaminate
@@ -46,6 +48,18 @@ def test_spans_blocks_and_odd_rows(spark, per_block):
     assert decontaminate.overlaps(documents(spark), items.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", range(decontaminate.MIN_TOKENS, 21))
+def test_every_accepted_pattern_has_a_hit(monkeypatch, n):
+    monkeypatch.setattr(decontaminate.SeedIndex, "NEAR_BITS", 12)
+    item = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    index = decontaminate.SeedIndex.of([(1, item)])
+    for k in range(n // 5 + 1):
+        for places in combinations(range(n), k):
+            text = item.copy()
+            text[list(places)] = np.arange(k, dtype=np.uint64) + np.uint64(7)
+            assert decontaminate.overlaps_of(text, index), places
+
+
 def test_query_equals_brute_force(spark):
     """Every item at every place of every document, without seeds."""
     import numpy as np
