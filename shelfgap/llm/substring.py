@@ -1,18 +1,18 @@
-"""Removal of repeated passages by prefix-partitioned suffix trees.
+"""Removal of repeated passages by sorted windows, grouped by minimizers.
 
-The suffixes of all texts (one per word) are split by prefixes of variable length into groups that
-fit in memory, and each group is sorted into a subtree whose nodes of depth ``min_words`` or more
-are the repeats. Three things keep the groups small:
+The windows of ``min_words`` words of all texts (suffixes, cut there) are split into groups, and
+each group is sorted; equal neighbours are the repeats. Deeper nodes of a suffix tree are not built:
+a longer repeat is the union of its windows. Three things keep the groups small, though nothing
+splits one by its size:
 
-- A suffix's prefix ends with the 6 words of smallest hash among its first ``min_words``, so it
-  has 6 to ``min_words`` words. Neighbouring suffixes mostly end theirs at the same place and
-  travel as one piece of text.
-- Prefixes whose last 6 words occur once in all texts have no repeat below them and are dropped
-  before any text is sent.
-- Where those 6 words are very frequent, the prefix is the whole ``min_words`` words, and a task
-  sends one suffix for all equal ones it has.
+- A window's group is its 6 words of smallest hash, wherever they lie in it. Neighbouring windows
+  mostly have theirs at the same place and travel as one piece of text.
+- Windows whose 6 words occur once in all texts have no repeat and are dropped before any text is
+  sent.
+- Where those 6 words are very frequent, the group is the whole window, and a task sends one for
+  all equal ones it has.
 
-Exact copies of a text are told by a digest of the text and need no tree.
+Exact copies of a text are told by a digest of the text and are not sorted.
 """
 
 from __future__ import annotations
