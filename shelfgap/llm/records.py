@@ -83,16 +83,16 @@ class _WordIds(dict):
         return np.array(self.encode(text, add_special_tokens=False).ids, self.code).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
-        # Full stops and commas after letters are a token run of their own, and a capital counts
-        # as its small letter, so that fewer different words reach the tokenizer.
-        letters = word.decode("utf-8", "replace")
-        stem = letters.rstrip(".,")
-        if stem != letters and stem.isalpha():
-            value = self[stem.encode()] + self[letters[len(stem) :].encode()]
-        elif letters[:1].isupper() and letters[1:].islower() and letters.isalpha() and letters[0] != "Σ":
-            value = self[(letters[0].lower() + letters[1:]).encode()]
+        # ASCII letters are one token run, in small letters, and full stops and commas after them
+        # another, so that fewer different words reach the tokenizer. Other letters may change
+        # their kind when they are normalized, so any other word goes to it as it is.
+        stem = word.rstrip(b".,")
+        if stem != word and stem.isalpha():
+            value = self[stem] + self[word[len(stem) :]]
+        elif word.isalpha() and not word.islower():
+            value = self[word.lower()]
         else:
-            value = self.ids(letters)
+            value = self.ids(word.decode("utf-8", "replace"))
         self[word] = value
         return value
 

@@ -1,5 +1,6 @@
 import glob
 import os
+import unicodedata
 import zlib
 
 import numpy as np
@@ -82,6 +83,33 @@ def test_words_in_turn_are_the_text(text):
     assert got == words.ids(text)
 
 
+def test_every_letter_in_every_place(tokenizer):
+    words = records._word_ids(tokenizer_path(), "<u2")
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha()]
+    # Of letters without case that no normalization changes, one in 64 from 0x3400 on.
+    letters = [
+        c
+        for c in letters
+        if ord(c) < 0x3400 or c.lower() != c or unicodedata.normalize("NFC", c) != c or not ord(c) % 64
+    ]
+    letters += ["\u0301", "\u093c", "\u200d"]
+    for place in ("{}", "{}ab", "ab{}", "Ab{}.", "{}.,", "\u0130\u0928{},"):
+        texts = [place.format(c) for c in letters]
+        found = tokenizer.encode_batch(texts, add_special_tokens=False)
+        wrong = [t for t, e in zip(texts, found) if words.__missing__(t.encode()) != np.array(e.ids, "<u2").tobytes()]
+        assert not wrong
+
+
+def test_letters_that_change_when_normalized(spark, tmp_path, tokenizer):
+    texts = [
+        (1, "see \U0001d5d5\U0001d5fc\U0001d5f9\U0001d5f1 text", "en", "a"),
+        (2, "\u0130, \u0915\u093c. \u0958,", "en", "a"),
+        (3, "\u03a3 \u039f\u0394\u039f\u03a3 \u039f\u0394\u039f\u03a3. UPPER Upper. mIxEd,", "en", "a"),
+    ]
+    got = records.tokenized_digests(spark, documents(spark, texts), str(tmp_path), tokenizer_path())
+    assert sorted(map(tuple, got.collect()), key=str) == want([(i, t) for i, t, _, _ in texts], tokenizer)
+
+
 def test_query(spark, tokenizer):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
