@@ -79,4 +79,54 @@ select page_id, host, path, rule, coalesce(action, spread, 'allow') as verdict
 from keyed k left join decided d on k.url = d.url left join classes c on k.node = c.node
 """
 
-ORACLES: dict[str, str] = {"op8_source_mix": _MIX, "op10_url_verdicts": _URLS}
+_CODE_ROUNDS = 6
+
+
+def _codes() -> str:
+    """Rounds as one pair of common table expressions each; whole numbers throughout."""
+
+    def assigned(k: int) -> str:
+        return f"""near{k} as materialized (
+  select vec_id, p, min({{'d': d, 'e': e}}) as best from (
+    select x.vec_id, x.p, c.e, cast(sum((x.v - c.v) * (x.v - c.v)) as bigint) as d
+    from cells x join book{k} c on x.p = c.p and x.j = c.j group by all) group by all)"""
+
+    def moved(k: int) -> str:
+        return f"""book{k + 1} as materialized (
+  select c.p, c.e, c.j, coalesce(cast(floor_div as bigint), c.v) as v
+  from book{k} c left join (
+    select p, e, j, (s - ((s % n) + n) % n) // n as floor_div from (
+      select x.p, a.best.e as e, x.j, sum(x.v) as s, count(*) as n
+      from cells x join near{k} a on x.vec_id = a.vec_id and x.p = a.p group by all)) m
+  on c.p = m.p and c.e = m.e and c.j = m.j)"""
+
+    rounds = ",\n".join(f"{assigned(k)},\n{moved(k)}" for k in range(_CODE_ROUNDS))
+    return f"""
+with kept as (
+  select vec_id, label, list_transform(embedding, lambda x: cast(floor(4096 * x::double) as bigint)) as w
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+cells as materialized (
+  select vec_id, (i - 1) // (len(w) // 8) as p, (i - 1) % (len(w) // 8) as j, w[i] as v
+  from (select vec_id, w, unnest(range(1, len(w) + 1)) as i from kept)),
+book0 as materialized (
+  select p, e, j, v from cells join (
+    select vec_id, row_number() over (order by vec_id) - 1 as e from kept order by vec_id limit 16) using (vec_id)),
+{rounds},
+{assigned(_CODE_ROUNDS)},
+coded as (
+  select vec_id, string_agg(lower(printf('%02x', best.e)), '' order by p) as code,
+    cast(sum(best.d) as bigint) as error
+  from near{_CODE_ROUNDS} group by vec_id),
+digest as (
+  select sha256(string_agg(cast(v as varchar), ',' order by p, e, j)) as codebooks_sha256 from book{_CODE_ROUNDS})
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from coded join kept using (vec_id), digest
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op8_source_mix": _MIX,
+    "op10_url_verdicts": _URLS,
+    "op12_vector_codes": _codes(),
+}

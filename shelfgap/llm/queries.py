@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfgap.llm import chat, decontaminate, fingerprints, language, mixing, quality, records, simhash_tiles, substring, urls
+from shelfgap.llm import (
+    chat,
+    decontaminate,
+    fingerprints,
+    language,
+    mixing,
+    quality,
+    records,
+    simhash_tiles,
+    spelling,
+    substring,
+    urls,
+    vector_codes,
+)
 from shelfgap.llm.common import new_dir, staged, with_code
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -98,6 +111,18 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_pages(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents with the more frequent words that they vary."""
+    docs = table(spark, sf_dir, "documents")
+    return spelling.spelling_variants(docs, least_points=5, least_count=3, damaged=97, factor=2)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors: eight parts, sixteen entries each, six rounds."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_codes.vector_codes(vectors, parts=8, entries=16, rounds=6, scale=4096)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: with_code(query)
     for query in (
@@ -111,5 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mix,
         op9_simhash,
         op10_url_verdicts,
+        op11_spelling_variants,
+        op12_vector_codes,
     )
 }
