@@ -125,8 +125,29 @@ from coded join kept using (vec_id), digest
 """
 
 
+_VECTOR_LINKS = """
+with recursive vectors as materialized (
+  select vec_id, case when embedding is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0
+    then list_transform(embedding, lambda x: x::double) end as v
+  from embeddings),
+links as materialized (
+  select a.vec_id as a, b.vec_id as b from vectors a join vectors b on a.vec_id <> b.vec_id
+    and a.v is not null and b.v is not null and list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(a, b) as (
+  select vec_id, vec_id from vectors
+  union
+  select r.a, l.b from reach r join links l on r.b = l.a),
+ends as (select a, min(b) as component_id from reach group by a),
+counts as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+from vectors v join ends e on v.vec_id = e.a left join counts c on v.vec_id = c.a
+"""
+
 ORACLES: dict[str, str] = {
     "op8_source_mix": _MIX,
     "op10_url_verdicts": _URLS,
     "op12_vector_codes": _codes(),
+    "op13_embedding_near_dedup": _VECTOR_LINKS,
 }

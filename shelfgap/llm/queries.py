@@ -11,6 +11,7 @@ from shelfgap.llm import (
     chat,
     decontaminate,
     fingerprints,
+    grid_join,
     language,
     mixing,
     quality,
@@ -123,6 +124,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(vectors, parts=8, entries=16, rounds=6, scale=4096)
 
 
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors of cosine 0.95 or more."""
+    return grid_join.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: with_code(query)
     for query in (
@@ -138,5 +144,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_url_verdicts,
         op11_spelling_variants,
         op12_vector_codes,
+        op13_embedding_near_dedup,
     )
 }
