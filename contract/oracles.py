@@ -316,6 +316,22 @@ _MERGED = _newest(
     [*_SALE_KEY, "units_sold", "revenue", "tax", "sale_date"],
 )
 
+_FLOAT_TAX = "cast(cast(l_tax as float) as double)"
+_WIDENED = _newest(
+    f"{_sales_by_status('F', tax=_FLOAT_TAX)} union all {_sales_by_status('O')}",
+    _SALE_KEY,
+    ["sale_date", "units_sold", "revenue", "tax"],
+    [*_SALE_KEY, "units_sold", "revenue", "tax", "sale_date"],
+)
+_IN_PARTS = _newest(
+    f"""{_sales_by_status('F', tax=_FLOAT_TAX)}
+      union all {_sales_by_status('O')} and l_partkey % 3 <> 1
+      union all {_sales_by_status('O', tax=_FLOAT_TAX)} and l_partkey % 3 = 1""",
+    _SALE_KEY,
+    ["sale_date", "units_sold", "revenue", "tax"],
+    [*_SALE_KEY, "units_sold", "revenue", "tax", "sale_date"],
+)
+
 ORACLES: dict[str, str] = {
     "trimmed_ids": f"""select seller_id, item_id, trim(seller_id) as seller, trim(item_id) as item
         from ({_RAW['seller_catalog']}) r""",
@@ -375,6 +391,8 @@ ORACLES: dict[str, str] = {
         [*_SALE_KEY, "units_sold", "revenue", "tax", "sale_date"],
     ),
     "upserted_table": _MERGED,
+    "merge_widened": _WIDENED,
+    "upserted_in_parts": _IN_PARTS,
     "item_dimension": f"""select item_id, item_name, category
         from ({_dimension(_typed('seller_catalog'))}) d""",
     "item_unit_prices": _dimension(_typed("seller_catalog")),

@@ -257,6 +257,24 @@ def merge_evolved(src: Source) -> DataFrame:
     return merge_latest(existing, incoming, ["seller_id", "item_id"], "sale_date", evolve=True)
 
 
+def _narrow(sales: DataFrame) -> DataFrame:
+    """The same sales with smaller types, as another system may deliver them."""
+    return sales.withColumns(
+        {
+            "seller_id": F.col("seller_id").cast("int"),
+            "units_sold": F.col("units_sold").cast("smallint"),
+            "tax": F.col("tax").cast("float"),
+        }
+    )
+
+
+@query
+def merge_widened(src: Source) -> DataFrame:
+    """A narrow table takes a wide delivery and becomes wide."""
+    existing, incoming = _narrow(_sales_by_status(src, "F")), _sales_by_status(src, "O")
+    return merge_latest(existing, incoming, ["seller_id", "item_id"], "sale_date", evolve=True)
+
+
 @query
 def upserted_table(src: Source) -> DataFrame:
     path = _staging(src).new_path()
@@ -265,6 +283,17 @@ def upserted_table(src: Source) -> DataFrame:
     return read_table(src.spark, path)
 
 
+@query
+def upserted_in_parts(src: Source) -> DataFrame:
+    """A bucketed table that takes narrower and wider deliveries in turn."""
+    path = _staging(src).new_path()
+    write_table(_narrow(_sales_by_status(src, "F")), path, COMPETITOR_SALES, buckets=8)
+    later = _sales_by_status(src, "O")
+    for k, part in enumerate([later, _narrow(later), later]):
+        upsert_table(part.where(F.col("item_id") % 3 == k), path, COMPETITOR_SALES, evolve=True)
+    return read_table(src.spark, path)
+
+
 # Steps towards the recommendations.
 
 

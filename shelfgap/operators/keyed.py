@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfgap.functions.widening import aligned
+
 
 def latest_per_key(
     df: DataFrame,
@@ -50,8 +52,10 @@ def merge_latest(
 ) -> DataFrame:
     """Upsert: the newest row per key of both tables.
 
-    With ``evolve`` a column known to one side only is kept and is NULL in the other's rows.
-    Merging the same rows again, or in the other order, changes nothing.
+    Incoming columns are widened to the existing types. With ``evolve`` existing columns are widened
+    as well, and a column known to one side only is kept and is NULL in the other's rows. Merging the
+    same rows again, or in the other order, changes nothing.
     """
+    existing, incoming = aligned(existing, incoming, evolve)
     both = existing.unionByName(incoming, allowMissingColumns=evolve)
     return latest_per_key(both, key, version)

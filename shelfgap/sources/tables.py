@@ -1,27 +1,43 @@
 """Keyed tables: one row per business key, replaced or merged.
 
-A Parquet table is a folder of versions. A version is written to a folder of its own and holds the
-buckets of keys that it changes; a small numbered list in ``_versions`` then names, for each
-bucket, the folder that holds it now. Readers follow the last list, so a write that fails leaves
-the former rows readable, and folders that no list names are removed only after the switch.
+A Parquet table is two copies, each partitioned by buckets of keys, and a pointer. A write of version
+n goes to copy n modulo 2, to which the pointer has not led since version n - 2, and then adds one row
+to the pointer. Readers start at the last pointer, so a write that fails leaves the former rows
+readable, and a reader that has opened a version can go on through the next write; the write after
+that replaces its files.
+
+An upsert overwrites partitions by Spark's dynamic mode: the buckets that the delivery falls into and
+those of the write before, which this copy has missed. All rows come from the current copy, so nothing
+that a failed write has left behind is ever read. One writer at a time; two are told by the pointer.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
+from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfgap.functions.widening import aligned
 from shelfgap.operators.keyed import latest_per_key, merge_latest
 from shelfgap.specs import DatasetSpec
 
 DEFAULT_FORMAT = "parquet"
-BUCKETS = 16  # of a new table; a table keeps its number
-_LISTS = "_versions"
+BUCKET_BYTES = 256 << 20  # of Parquet; a table is cut anew once its buckets are twice as large
+MOST_BUCKETS = 1 << 20
 _BUCKET = "_bucket"
+_POINTER = "version long, buckets int, schema string"
+_WRITES = "version long, bucket int"
+_ALL = -1  # in the list of writes: every bucket
+
+
+class _Version(NamedTuple):
+    version: int
+    buckets: int
+    schema: T.StructType
 
 
 def _options(spec: DatasetSpec, table_format: str) -> dict[str, str]:
@@ -38,124 +54,114 @@ def _options(spec: DatasetSpec, table_format: str) -> dict[str, str]:
     }
 
 
-class _Folder:
-    """Small files and names under a path, on whatever file system holds it."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        self._io = spark.sparkContext._jvm.org.apache.commons.io.IOUtils
-        self.path = path.rstrip("/")
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._fs = self._at("").getFileSystem(conf)
-
-    def _at(self, name: str):
-        return self._hadoop.Path(f"{self.path}/{name}" if name else self.path)
-
-    def exists(self, name: str = "") -> bool:
-        return self._fs.exists(self._at(name))
-
-    def names(self, name: str = "") -> list[str]:
-        if not self.exists(name):
-            return []
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at(name)))
-
-    def read(self, name: str) -> str:
-        stream = self._fs.open(self._at(name))
-        try:
-            return self._io.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def publish(self, name: str, text: str) -> None:
-        """The file appears whole or not at all, and never over another one."""
-        hidden = f"{_LISTS}/.{uuid.uuid4().hex}"
-        stream = self._fs.create(self._at(hidden), False)
-        try:
-            self._io.write(text, stream, "UTF-8")
-        finally:
-            stream.close()
-        if self.exists(name) or not self._fs.rename(self._at(hidden), self._at(name)):
-            raise RuntimeError(f"another writer has changed {self.path} meanwhile")
-
-    def remove(self, name: str) -> None:
-        self._fs.delete(self._at(name), True)
-
-
-def _last_list(folder: _Folder) -> tuple[int, dict] | None:
-    numbers = [int(n.removesuffix(".json")) for n in folder.names(_LISTS) if n.endswith(".json")]
-    if not numbers:
+def _opened(spark: SparkSession, schema: str, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _current(spark: SparkSession, path: str) -> _Version | None:
+    """What the pointer says; None if there is no table of versions."""
+    pointer = _opened(spark, _POINTER, f"{path}/_pointer")
+    last = pointer.orderBy(F.desc("version")).limit(2).collect() if pointer is not None else []
+    if not last:
         return None
-    return max(numbers), json.loads(folder.read(f"{_LISTS}/{max(numbers):010d}.json"))
-
-
-def _commit(folder: _Folder, number: int, content: dict) -> None:
-    folder.publish(f"{_LISTS}/{number:010d}.json", json.dumps(content))
-    places = set(content["places"].values())
-    versions = {place.split("/")[0] for place in places}
-    for name in folder.names():
-        if name == _LISTS:
-            continue
-        if name not in versions:
-            folder.remove(name)
-            continue
-        for bucket in folder.names(name):
-            if bucket.startswith(f"{_BUCKET}=") and f"{name}/{bucket}" not in places:
-                folder.remove(f"{name}/{bucket}")
-    for name in folder.names(_LISTS):
-        if name.endswith(".json") and name < f"{number:010d}.json":
-            folder.remove(f"{_LISTS}/{name}")
+    if len(last) > 1 and last[0]["version"] == last[1]["version"]:
+        raise RuntimeError(f"two writers have written version {last[0]['version']} of {path}")
+    return _Version(last[0]["version"], last[0]["buckets"], T.StructType.fromJson(json.loads(last[0]["schema"])))
+
+
+def _point_to(spark: SparkSession, path: str, version: _Version) -> None:
+    row = (version.version, version.buckets, version.schema.json())
+    spark.createDataFrame([row], _POINTER).coalesce(1).write.mode("append").parquet(f"{path}/_pointer")
+    _current(spark, path)
+
+
+def _copy(path: str, version: int) -> str:
+    return f"{path}/copy-{version % 2}"
+
+
+def _rows(spark: SparkSession, path: str, now: _Version) -> DataFrame:
+    """The rows of a version, with their bucket."""
+    return spark.read.schema(now.schema).parquet(_copy(path, now.version))
 
 
 def _bucket(key: tuple[str, ...], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
 
-def _write_version(df: DataFrame, folder: _Folder) -> dict[str, str]:
-    """Writes rows that have a bucket and are dealt by it; returns each bucket's folder."""
-    version = f"v-{uuid.uuid4().hex}"
-    df.write.partitionBy(_BUCKET).parquet(f"{folder.path}/{version}")
-    found = [n for n in folder.names(version) if n.startswith(f"{_BUCKET}=")]
-    return {n.split("=")[1]: f"{version}/{n}" for n in found}
+def _bytes(df: DataFrame) -> int:
+    """Bytes of the files and other relations that ``df`` starts from, as the planner knows them
+    without running anything; 0 if it does not know."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    return sum(n for n in sizes if n < 1 << 60)
 
 
-def _read_buckets(spark: SparkSession, path: str, content: dict, buckets: list[str]) -> DataFrame:
-    schema = T.StructType.fromJson(content["schema"])
-    places = [f"{path.rstrip('/')}/{content['places'][b]}" for b in buckets]
-    if not places:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*places)
+def _buckets_for(n_bytes: int) -> int:
+    return max(1, min(MOST_BUCKETS, -(-n_bytes // BUCKET_BYTES)))
 
 
 def read_table(spark: SparkSession, path: str, table_format: str = DEFAULT_FORMAT) -> DataFrame:
     """The table as its last complete write left it; a plain folder of Parquet files is read as
     it is."""
+    path = path.rstrip("/")
     if table_format == DEFAULT_FORMAT:
-        found = _last_list(_Folder(spark, path))
-        if found:
-            return _read_buckets(spark, path, found[1], sorted(found[1]["places"]))
+        now = _current(spark, path)
+        if now:
+            return _rows(spark, path, now).drop(_BUCKET)
     return spark.read.format(table_format).load(path)
 
 
+def _write_all(df: DataFrame, path: str, version: _Version, spec: DatasetSpec) -> None:
+    """Replaces a whole copy and points to it."""
+    dealt = df.withColumn(_BUCKET, _bucket(spec.key, version.buckets)).repartition(version.buckets, _BUCKET)
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(_BUCKET).parquet(_copy(path, version.version))
+    _point_to(df.sparkSession, path, version)
+
+
+def _note(path: str, version: int, buckets: DataFrame) -> None:
+    """Says, before a write, in which buckets the other copy will be behind it."""
+    rows = buckets.select(F.lit(version).cast("long").alias("version"), "bucket")
+    rows.coalesce(1).write.mode("append").parquet(f"{path}/_writes")
+
+
+def _note_all(spark: SparkSession, path: str, version: int) -> None:
+    _note(path, version, spark.createDataFrame([(_ALL,)], "bucket int"))
+
+
+def _noted(spark: SparkSession, path: str, version: int) -> set[int]:
+    """The buckets noted for a version: at most as many numbers as the table has buckets."""
+    writes = _opened(spark, _WRITES, f"{path}/_writes")
+    if writes is None:
+        return set()
+    return {r["bucket"] for r in writes.where(F.col("version") == version).distinct().collect()}
+
+
 def write_table(
     df: DataFrame,
     path: str,
     spec: DatasetSpec,
     table_format: str = DEFAULT_FORMAT,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> None:
-    """Replaces the table by the newest row per key."""
+    """Replaces the table by the newest row per key, in as many buckets as its bytes ask for."""
+    path = path.rstrip("/")
     if not spec.one_row_per_key_before_rules:
         df = latest_per_key(df, spec.key, spec.version, spec.nearly_unique_key)
     if table_format != DEFAULT_FORMAT:
         writer = df.write.format(table_format).options(**_options(spec, table_format))
         writer.mode("overwrite").save(path)
         return
-    folder = _Folder(df.sparkSession, path)
-    before = _last_list(folder)
-    dealt = df.withColumn(_BUCKET, _bucket(spec.key, buckets)).repartition(_BUCKET)
-    places = _write_version(dealt, folder)
-    content = {"schema": df.schema.jsonValue(), "buckets": buckets, "places": places}
-    _commit(folder, before[0] + 1 if before else 1, content)
+    now = _current(df.sparkSession, path)
+    buckets = buckets or _buckets_for(_bytes(df))
+    target = _Version(now.version + 1 if now else 1, buckets, df.schema)
+    _note_all(df.sparkSession, path, target.version)
+    _write_all(df, path, target, spec)
 
 
 def upsert_table(
@@ -167,10 +173,14 @@ def upsert_table(
 ) -> None:
     """Merges rows into the table: the newest row per key of both.
 
-    Only the buckets that the incoming rows touch are read and written, once; the others stay
-    where they are. Which buckets those are is one small aggregate over the incoming rows.
+    Incoming columns are widened to the table's types; with ``evolve`` the table's are widened to the
+    incoming ones and columns that one side lacks are NULL there. Other differences raise.
+
+    Read and written are the buckets that the incoming rows fall into and those of the write before.
+    The whole table is rewritten after a replacement, after a write that failed, if a type changes and
+    if its buckets have become too large.
     """
-    spark = incoming.sparkSession
+    spark, path = incoming.sparkSession, path.rstrip("/")
     if table_format != DEFAULT_FORMAT:
         existing = read_table(spark, path, table_format)
         existing = existing.select(*[c for c in existing.columns if not c.startswith("_hoodie_")])
@@ -178,24 +188,45 @@ def upsert_table(
         writer = merged.write.format(table_format).options(**_options(spec, table_format))
         writer.mode("overwrite").save(path)
         return
-    folder = _Folder(spark, path)
-    found = _last_list(folder)
-    if found is None:  # a plain folder becomes a table first
-        write_table(read_table(spark, path), f"{path.rstrip('/')}", spec)
-        found = _last_list(folder)
-    number, content = found
-    bucket = _bucket(spec.key, content["buckets"])
-    touched = {str(r[0]) for r in incoming.select(bucket).distinct().collect()}
-    kept = sorted(touched & set(content["places"]))
-    existing = _read_buckets(spark, path, content, kept)
-    both = existing.unionByName(incoming, allowMissingColumns=evolve)
-    schema = both.schema
-    dealt = both.withColumn(_BUCKET, bucket).repartition(_BUCKET)
+    now = _current(spark, path)
+    if now is None:  # a plain folder becomes a table first
+        write_table(read_table(spark, path), path, spec)
+        now = _current(spark, path)
+    existing = _rows(spark, path, now)
+    rows, new = aligned(existing.drop(_BUCKET), incoming, evolve)
+    retyped = any(f.dataType != now.schema[f.name].dataType for f in rows.schema)
+    # One row per key leaves each task for the next shuffle, however often a key is delivered.
+    new = latest_per_key(new, spec.key, spec.version, spec.nearly_unique_key)
+    schema = rows.unionByName(new, allowMissingColumns=evolve).schema
+
+    ahead = now.version + 1
+    behind, failed = _noted(spark, path, now.version), _noted(spark, path, ahead)
+    wanted = _buckets_for(_bytes(existing))
+    fits = wanted <= 2 * now.buckets and not retyped
+    bucket = _bucket(spec.key, now.buckets)
+    if fits:
+        _note(path, ahead, new.select(bucket.alias("bucket")).distinct())
+    else:
+        _note_all(spark, path, ahead)
+    if _ALL in behind or failed or not fits:
+        both = rows.unionByName(new, allowMissingColumns=evolve)
+        merged = latest_per_key(both, spec.key, spec.version, spec.nearly_unique_key)
+        buckets = now.buckets if wanted <= 2 * now.buckets else wanted
+        _write_all(merged, path, _Version(ahead, buckets, schema), spec)
+        return
+    fresh = _noted(spark, path, ahead)
+    if not fresh and schema == now.schema:
+        return
+    pending = sorted(fresh | behind)
+    kept = existing.where(F.col(_BUCKET).isin(pending)).select(_BUCKET, *rows.columns)
+    both = kept.unionByName(new.withColumn(_BUCKET, bucket), allowMissingColumns=evolve)
+    dealt = both.repartition(max(1, len(pending)), _BUCKET)
     merged = latest_per_key(dealt, (_BUCKET, *spec.key), spec.version, spec.nearly_unique_key)
-    places = {**content["places"], **_write_version(merged, folder)}
-    content = {"schema": schema.jsonValue(), "buckets": content["buckets"], "places": places}
-    _commit(folder, number + 1, content)
+    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(_BUCKET).parquet(_copy(path, ahead))
+    _point_to(spark, path, _Version(ahead, now.buckets, schema))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return _Folder(spark, path).exists()
+    path = path.rstrip("/")
+    return _current(spark, path) is not None or _opened(spark, "x int", path) is not None

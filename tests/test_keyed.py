@@ -5,9 +5,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from shelfgap.functions.widening import promoted
 from shelfgap.operators.keyed import latest_per_key, merge_latest
 from shelfgap.operators.ranking import top_n_per_group
-from shelfgap.sources.tables import BUCKETS, _options, read_table, upsert_table, write_table
+from shelfgap.sources import tables
+from shelfgap.sources.tables import _options, read_table, upsert_table, write_table
 from shelfgap.specs import COMPETITOR_SALES
 
 SCHEMA = "seller_id string, item_id string, sale_date int, units int"
@@ -113,21 +115,101 @@ def test_upsert_with_new_columns(spark, tmp_path):
     assert rows(read_table(spark, path)) == sorted(want, key=str)
 
 
-def files_of(path):
-    return {f: os.path.getmtime(f) for f in glob.glob(f"{path}/v-*/*/part-*.parquet")}
+def files_of(path, copy):
+    found = glob.glob(f"{path}/copy-{copy}/*/part-*.parquet")
+    return {f: os.path.getmtime(f) for f in found}
 
 
 def test_untouched_buckets_stay(spark, tmp_path):
     path = str(tmp_path / "table")
-    write_table(table(spark, random_rows(1, 400, 40)), path, COMPETITOR_SALES)
-    before = files_of(path)
+    write_table(table(spark, random_rows(1, 400, 40)), path, COMPETITOR_SALES, buckets=16)
+    for k in range(3):
+        upsert_table(table(spark, [("s1", "i1", 90 + k, k)]), path, COMPETITOR_SALES)
+    before = files_of(path, 1), files_of(path, 0)
     upsert_table(table(spark, [("s1", "i1", 99, 99)]), path, COMPETITOR_SALES)
-    after = files_of(path)
-    assert len(before) == len(after) == BUCKETS
-    assert sum(after.get(f) == t for f, t in before.items()) == BUCKETS - 1
+    after = files_of(path, 1), files_of(path, 0)
+    assert before[1] == after[1]
+    assert len(before[0]) == len(after[0]) == 16
+    assert sum(after[0].get(f) == t for f, t in before[0].items()) == 15
     assert ("s1", "i1", 99, 99) in rows(read_table(spark, path))
 
 
+def test_many_deliveries(spark, tmp_path):
+    """Both copies take every delivery, whatever buckets it falls into."""
+    path = str(tmp_path / "table")
+    every = random_rows(1, 100, 30)
+    write_table(table(spark, every), path, COMPETITOR_SALES, buckets=7)
+    for k in range(5):
+        new = random_rows(10 + k, 4, 30)
+        every += new
+        upsert_table(table(spark, new), path, COMPETITOR_SALES)
+        assert rows(read_table(spark, path)) == brute_latest(every)
+    upsert_table(table(spark, []), path, COMPETITOR_SALES)
+    assert rows(read_table(spark, path)) == brute_latest(every)
+    write_table(table(spark, every[:9]), path, COMPETITOR_SALES, buckets=3)
+    upsert_table(table(spark, every[9:20]), path, COMPETITOR_SALES)
+    upsert_table(table(spark, every[20:30]), path, COMPETITOR_SALES)
+    assert rows(read_table(spark, path)) == brute_latest(every[:30])
+
+
+def test_a_narrower_key_finds_its_rows(spark, tmp_path):
+    path = str(tmp_path / "table")
+    columns = ["{} seller_id", "{} item_id", "int(1) units", "{} sale_date"]
+    old = spark.range(200).selectExpr(*[c.format("id") for c in columns])
+    write_table(old, path, COMPETITOR_SALES, buckets=16)
+    for k in (3, 5, 199):  # whole rewrite, then single buckets
+        new = spark.range(k, k + 1).selectExpr(*[c.format("int(id)").replace("int(1)", "int(2)") for c in columns])
+        upsert_table(new, path, COMPETITOR_SALES)
+    got = read_table(spark, path)
+    assert got.dtypes == old.dtypes and got.count() == 200
+    assert sorted(r.seller_id for r in got.where("units = 2").collect()) == [3, 5, 199]
+
+
+def test_a_wider_key_is_taken_with_evolve(spark, tmp_path):
+    path = str(tmp_path / "table")
+    narrow = ["int(id) seller_id", "string(id) item_id", "float(id) units", "int(id) sale_date"]
+    write_table(spark.range(50).selectExpr(*narrow), path, COMPETITOR_SALES, buckets=8)
+    wide = spark.range(40, 60).selectExpr("id seller_id", "string(id) item_id", "id + 0.5d units", "int(100) sale_date")
+    with pytest.raises(ValueError, match="does not fit"):
+        upsert_table(wide, path, COMPETITOR_SALES)
+    for _ in range(3):
+        upsert_table(wide, path, COMPETITOR_SALES, evolve=True)
+        got = read_table(spark, path)
+        assert dict(got.dtypes)["seller_id"] == "bigint" and dict(got.dtypes)["units"] == "double"
+        assert got.count() == 60 and got.where("units = seller_id + 0.5").count() == 20
+    with pytest.raises(ValueError, match="does not fit"):
+        upsert_table(wide.withColumn("sale_date", F.lit("x")), path, COMPETITOR_SALES, evolve=True)
+    with pytest.raises(ValueError, match="columns differ"):
+        upsert_table(wide.drop("units"), path, COMPETITOR_SALES)
+
+
+def test_full_buckets_are_cut_anew(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    old, new = random_rows(1, 300, 200), random_rows(2, 20, 200)
+    write_table(table(spark, old), path, COMPETITOR_SALES)
+    assert len(files_of(path, 1)) == 1
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 1 << 10)
+    for k in range(3):
+        upsert_table(table(spark, new[k::3]), path, COMPETITOR_SALES)
+    assert len(files_of(path, 0)) == len(files_of(path, 1)) > 2
+    assert rows(read_table(spark, path)) == brute_latest(old + new)
+
+
+def test_an_open_reader_survives_a_write(spark, tmp_path):
+    path = str(tmp_path / "table")
+    old, new = random_rows(3, 100), random_rows(4, 50)
+    write_table(table(spark, old), path, COMPETITOR_SALES, buckets=4)
+    opened = read_table(spark, path)
+    upsert_table(table(spark, new), path, COMPETITOR_SALES)
+    assert rows(opened) == brute_latest(old)
+    opened = read_table(spark, path)
+    upsert_table(table(spark, old), path, COMPETITOR_SALES)
+    assert rows(opened) == brute_latest(old + new)
+    opened = read_table(spark, path)
+    write_table(table(spark, new), path, COMPETITOR_SALES)
+    assert rows(opened) == brute_latest(old + new)
+
+
 @pytest.mark.parametrize("write", [write_table, lambda *a: upsert_table(*a)])
 def test_a_write_that_fails_leaves_the_former_rows(spark, tmp_path, write):
     path = str(tmp_path / "table")
@@ -140,7 +222,56 @@ def test_a_write_that_fails_leaves_the_former_rows(spark, tmp_path, write):
     assert rows(read_table(spark, path)) == brute_latest(old)
     upsert_table(table(spark, old), path, COMPETITOR_SALES)
     assert rows(read_table(spark, path)) == brute_latest(old)
-    assert len(glob.glob(f"{path}/_versions/*.json")) == 1
+
+
+def test_rows_of_a_write_that_was_not_pointed_to_do_not_come_back(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    old = random_rows(1, 60)
+    write_table(table(spark, old), path, COMPETITOR_SALES, buckets=16)
+    upsert_table(table(spark, old[:5]), path, COMPETITOR_SALES)
+    with monkeypatch.context() as m, pytest.raises(RuntimeError, match="lost"):
+        m.setattr(tables, "_point_to", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        upsert_table(table(spark, [(f"ghost{k}", "i", 1, 1) for k in range(40)]), path, COMPETITOR_SALES)
+    assert rows(read_table(spark, path)) == brute_latest(old)
+    new = random_rows(5, 3)
+    upsert_table(table(spark, new), path, COMPETITOR_SALES)
+    assert rows(read_table(spark, path)) == brute_latest(old + new)
+    upsert_table(table(spark, old), path, COMPETITOR_SALES)
+    assert rows(read_table(spark, path)) == brute_latest(old + new)
+
+
+def test_two_writers_are_told(spark, tmp_path):
+    path = str(tmp_path / "table")
+    write_table(table(spark, random_rows(1, 10)), path, COMPETITOR_SALES)
+    with pytest.raises(RuntimeError, match="two writers"):
+        tables._point_to(spark, path, tables._current(spark, path))
+
+
+@pytest.mark.parametrize(
+    "a, b, common",
+    [
+        ("int", "bigint", "bigint"),
+        ("smallint", "float", "float"),
+        ("int", "float", "double"),
+        ("float", "double", "double"),
+        ("bigint", "double", None),
+        ("bigint", "decimal(22,2)", "decimal(22,2)"),
+        ("bigint", "decimal(20,2)", "decimal(22,2)"),
+        ("bigint", "decimal(38,30)", None),
+        ("decimal(10,2)", "decimal(8,4)", "decimal(12,4)"),
+        ("void", "date", "date"),
+        ("date", "timestamp", None),
+        ("string", "int", None),
+        ("array<int>", "array<int>", "array<int>"),
+    ],
+)
+def test_promotion(spark, a, b, common):
+    def of(name):
+        return spark.createDataFrame([], f"x {name}").schema[0].dataType
+
+    for x, y in ((a, b), (b, a)):
+        got = promoted(of(x), of(y))
+        assert (got and got.simpleString()) == common
 
 
 def test_top_n_ties_and_nulls(spark):

@@ -95,10 +95,19 @@ def test_gaps_per_seller_and_source_are_bounded(spark):
 def test_upsert_reads_touched_buckets_only(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "table")
     rows = spark.range(400).selectExpr("string(id) seller_id", "'i' item_id", "int(id) sale_date")
-    tables.write_table(rows, path, COMPETITOR_SALES)
-    read, opened = tables._read_buckets, []
-    monkeypatch.setattr(
-        tables, "_read_buckets", lambda *a: (opened.append(a[3]), read(*a))[1]
-    )
-    tables.upsert_table(rows.limit(1), path, COMPETITOR_SALES)
-    assert [len(b) for b in opened] == [1]
+    tables.write_table(rows, path, COMPETITOR_SALES, buckets=16)
+    written = []
+    merge = tables.latest_per_key
+
+    def spy(df, key, *more):
+        if key[0] == tables._BUCKET:
+            written.append({r[0] for r in df.select(tables._BUCKET).distinct().collect()})
+        return merge(df, key, *more)
+
+    monkeypatch.setattr(tables, "latest_per_key", spy)
+    for k in range(3):
+        tables.upsert_table(rows.where(f"seller_id = '{k}'"), path, COMPETITOR_SALES)
+    # The first write after a replacement brings the other copy up; a later one writes its own
+    # bucket and that of the write before.
+    assert [len(b) for b in written] == [2, 2] and len(written[0] & written[1]) == 1
+    assert tables.read_table(spark, path).count() == 400
