@@ -59,8 +59,12 @@ def _filled_int(x: str) -> str:
     return f"coalesce({_int(x)}, 0)"
 
 
-def _sum(x: str) -> str:
-    return f"cast(sum(cast({x} as decimal(28, 6))) as double)"
+_UNIT = 2.0**60  # amounts of these tables are whole multiples of its inverse
+
+
+def _sum(x: str, over: str = "") -> str:
+    """The exact sum of doubles, rounded once."""
+    return f"cast(sum(cast({x} * {_UNIT:.0f}::double as hugeint)) {over} as double) / {_UNIT:.0f}::double"
 
 
 def _avg(x: str) -> str:
@@ -238,7 +242,7 @@ def _dimension(catalog: str) -> str:
       select item_id, item_name, category,
         row_number() over (partition by item_id
           order by category nulls last, item_name nulls last) as rn,
-        cast(sum(cast(marketplace_price as decimal(28, 6))) over (partition by item_id) as double)
+        {_sum("marketplace_price", "over (partition by item_id)")}
           / nullif(count(marketplace_price) over (partition by item_id), 0) as unit_price
       from ({catalog}) d0) d1 where rn = 1"""
 

@@ -1,30 +1,170 @@
 """Sums and means of doubles that do not depend on the order of the rows.
 
-Floating-point addition is not associative, so a shuffled sum may change in its last digits
-between runs and flip ties in a later ranking. Values with at most six decimals, as amounts
-of money have, are added as whole millionths instead. If a group holds any other value, or
-the whole number would overflow, its plain floating-point sum is used.
+Floating-point addition is not associative, so a shuffled sum may change in its last digits between
+runs and flip ties in a later ranking. Here every double is taken apart into whole numbers, which add
+up exactly in any order. A value falls into a bin of 64 powers of two; within the bin it is a whole
+multiple of one unit, cut into limbs of 22 bits, so that a limb's sum stays within a long for 2^41
+rows. Rows are first added per key and bin, of which amounts of one kind mostly have one, then the few
+bins of a key are put together from the largest down. The result is the exact sum of the values,
+rounded once; all bins go the same way, whatever the values are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SCALE = 1_000_000.0
-_LIMIT = 9e9  # below it, millionths are exact in a double
+BIN_BITS = 64
+LIMB_BITS = 22
+LIMBS = 6
+#: The lowest bit of a value, 52 below its highest one, is in the bin; one more for a logarithm that
+#: is rounded down too far.
+_BELOW = BIN_BITS // 2 + 53
+_SPECIAL = 1 << 10  # the bin of infinities and of what is no number
+
+#: An aggregate of the rows, and the one that puts its partial results together.
+Partial = tuple[Column, Callable[[Column], Column]]
+
+
+def _power(exponent: Column) -> Column:
+    return F.pow(F.lit(2.0), exponent)
 
 
-def repeatable_sum(value: Column) -> Column:
-    value = value.cast("double")
-    whole = F.when(F.abs(value) < _LIMIT, F.rint(value * _SCALE).cast("bigint"))
-    lossless = whole.cast("double") / F.lit(_SCALE) == value
-    exact = F.when(
-        F.count_if(lossless) == F.count(value),
-        F.try_sum(whole).cast("double") / F.lit(_SCALE),
+def _bin(size: Column) -> Column:
+    """The bin of a value by its size: 0 from 2^-32 to 2^32; NULL for zero."""
+    near = (size >= 2.0 ** -(BIN_BITS // 2)) & (size < 2.0 ** (BIN_BITS // 2))
+    other = F.floor((F.floor(F.log2(size)) + BIN_BITS // 2) / BIN_BITS).cast("int")
+    return (
+        F.when(size == 0, None)
+        .when(near, F.lit(0))
+        .when(F.isnan(size) | (size == float("inf")), F.lit(_SPECIAL))
+        .otherwise(other)
     )
-    return F.coalesce(exact, F.sum(value))
 
 
-def repeatable_avg(value: Column) -> Column:
-    return F.try_divide(repeatable_sum(value), F.count(value))
+def _units(size: Column, of_bin: Column) -> Column:
+    """The size as a whole number of the bin's units, exact as a double. Two factors, as one may be
+    beyond a double."""
+    up = F.lit(_BELOW) - of_bin * BIN_BITS
+    half = F.floor(up / 2)
+    scaled = size * _power(half.cast("double")) * _power((up - half).cast("double"))
+    return F.when(of_bin == 0, size * 2.0**_BELOW).otherwise(scaled)
+
+
+def _binned(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Each value ``v`` as its bin ``v_b`` and limbs ``v_0`` and so on, below zero with it."""
+    size = {v: F.abs(F.col(v)) for v in names}
+    df = df.withColumns({f"{v}_b": _bin(size[v]) for v in names})
+    df = df.withColumns(
+        {f"{v}_r": F.when(F.col(f"{v}_b") != _SPECIAL, _units(size[v], F.col(f"{v}_b"))) for v in names}
+    )
+    for k in range(LIMBS - 1, -1, -1):
+        unit = 2.0 ** (k * LIMB_BITS)
+        df = df.withColumns({f"{v}_{k}": F.floor(F.col(f"{v}_r") / unit) for v in names})
+        df = df.withColumns({f"{v}_r": F.col(f"{v}_r") - F.col(f"{v}_{k}") * unit for v in names})
+    sign = {v: F.when(F.col(v) < 0, F.lit(-1)).otherwise(F.lit(1)) for v in names}
+    return df.withColumns({f"{v}_{k}": F.col(f"{v}_{k}") * sign[v] for v in names for k in range(LIMBS)})
+
+
+def _terms(part: Column) -> Column:
+    """The limbs of a bin, largest first, as doubles that hold them exactly."""
+    terms = []
+    for k in range(LIMBS - 1, -1, -1):
+        limb = F.coalesce(part[f"l{k}"], F.lit(0))
+        high = F.shiftright(limb, 31)
+        # Two factors again, of which neither leaves the doubles.
+        up = part["b"] * BIN_BITS - _BELOW + k * LIMB_BITS
+        half = F.floor(up / 2)
+        for whole, more in ((high, 31), (limb - F.shiftleft(high, 31), 0)):
+            scaled = whole.cast("double") * _power((half + more).cast("double"))
+            terms.append(scaled * _power((up - half).cast("double")))
+    return F.array(*terms)
+
+
+def _plus(a: Column, b: Column) -> tuple[Column, Column]:
+    """The rounded sum of two doubles, and what the rounding has left out; beyond all doubles nothing."""
+    whole = a + b
+    away = whole - a
+    left = (a - (whole - away)) + (b - away)
+    return whole, F.when(F.abs(whole) == float("inf"), F.lit(0.0)).otherwise(left)
+
+
+def _added(parts: Column) -> Column:
+    """The sum of all bins, rounded once: what an addition leaves out goes to a second number, and
+    what that leaves out to a third."""
+    names = ("s", "c", "d")
+
+    def kept(*values: Column) -> Column:
+        return F.struct(*[v.alias(n) for n, v in zip(names, values)])
+
+    def add(state: Column, x: Column) -> Column:
+        s, left = _plus(state["s"], x)
+        c, more = _plus(state["c"], left)
+        return kept(s, c, state["d"] + more)
+
+    def narrowed(of: int) -> Callable[[Column], Column]:
+        """The same sum with two of the numbers made as unequal as they can be."""
+
+        def narrow(state: Column) -> Column:
+            values = [state[n] for n in names]
+            values[of : of + 2] = _plus(*values[of : of + 2])
+            return kept(*values)
+
+        return narrow
+
+    def rounded(state: Column) -> Column:
+        # A second number that is just half of the first one's last bit is rounded by the third.
+        twice = state["c"] * 2
+        up = state["s"] + twice
+        tie = (F.signum(state["c"]) * F.signum(state["d"]) > 0) & (up - state["s"] == twice)
+        return F.when(tie, up).otherwise(state["s"])
+
+    terms = F.flatten(F.transform(F.sort_array(parts, asc=False), _terms))
+    state = F.aggregate(terms, kept(*[F.lit(0.0)] * 3), add)
+    for of in (0, 1, 0):
+        # A list of one element gives the number a name, so that it is computed once.
+        state = F.get(F.transform(F.array(state), narrowed(of)), F.lit(0))
+    return F.get(F.transform(F.array(state), rounded), F.lit(0))
+
+
+def totals(
+    df: DataFrame,
+    keys: Sequence[str],
+    sums: Mapping[str, Column] | None = None,
+    means: Mapping[str, Column] | None = None,
+    others: Mapping[str, Partial] | None = None,
+) -> DataFrame:
+    """One row per key with sums and means of doubles, NULL if all values are, and ``others``.
+
+    Any infinity or NaN among the values makes the result what adding them in any order would.
+    """
+    sums, means, others = sums or {}, means or {}, others or {}
+    values = {f"_v{n}": c.cast("double") for n, c in enumerate([*sums.values(), *means.values()])}
+    binned = _binned(df.withColumns(values), list(values))
+    first, again = [], []
+    for v in values:
+        whole = [F.sum(f"{v}_{k}").alias(f"{v}_{k}") for k in range(LIMBS)]
+        odd = F.sum(F.when(F.col(f"{v}_b") == _SPECIAL, F.col(v))).alias(f"{v}_odd")
+        first += [*whole, odd, F.count(v).alias(f"{v}_n")]
+        part = F.struct(F.col(f"{v}_b").alias("b"), *[F.col(f"{v}_{k}").alias(f"l{k}") for k in range(LIMBS)])
+        kept = F.col(f"{v}_b").isNotNull() & (F.col(f"{v}_b") != _SPECIAL)
+        again += [
+            F.collect_list(F.when(kept, part)).alias(f"{v}_parts"),
+            F.sum(f"{v}_odd").alias(f"{v}_odd"),
+            F.sum(f"{v}_n").alias(f"{v}_n"),
+        ]
+    first += [column.alias(name) for name, (column, _) in others.items()]
+    again += [merge(F.col(name)).alias(name) for name, (_, merge) in others.items()]
+    per_bin = binned.groupBy(*keys, *[f"{v}_b" for v in values]).agg(*first)
+    merged = per_bin.groupBy(*keys).agg(*again)
+
+    def total(v: str) -> Column:
+        exact = _added(F.col(f"{v}_parts"))
+        return F.when(F.col(f"{v}_n") > 0, F.coalesce(F.col(f"{v}_odd"), exact))
+
+    named = list(zip([*sums, *means], values))
+    results = [total(v).alias(name) for name, v in named[: len(sums)]]
+    results += [F.try_divide(total(v), F.col(f"{v}_n")).alias(name) for name, v in named[len(sums) :]]
+    return merged.select(*keys, *results, *others)

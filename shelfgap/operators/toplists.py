@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfgap.functions.exact import repeatable_avg, repeatable_sum
+from shelfgap.functions.exact import totals
 from shelfgap.operators.ranking import top_n_per_group
 
 TOP_N = 10
@@ -19,9 +19,13 @@ def item_dimension(catalog: DataFrame, unit_price: bool = False) -> DataFrame:
     """
     named = [F.isnull("category").alias("no_category"), "category"]
     named += [F.isnull("item_name").alias("no_name"), "item_name"]
-    chosen = F.min(F.struct(*named)).alias("chosen")
-    extra = [repeatable_avg(F.col("marketplace_price")).alias("unit_price")] if unit_price else []
-    return catalog.groupBy("item_id").agg(chosen, *extra).select(
+    chosen = F.min(F.struct(*named))
+    if unit_price:
+        means = {"unit_price": F.col("marketplace_price")}
+        items = totals(catalog, ["item_id"], means=means, others={"chosen": (chosen, F.min)})
+    else:
+        items = catalog.groupBy("item_id").agg(chosen.alias("chosen"))
+    return items.select(
         "item_id",
         F.col("chosen.item_name").alias("item_name"),
         F.col("chosen.category").alias("category"),
@@ -36,11 +40,18 @@ def enrich_company_sales(sales: DataFrame, items: DataFrame) -> DataFrame:
 
 def competitor_item_totals(sales: DataFrame) -> DataFrame:
     """Totals per item; the mean price weighs every row alike."""
-    return sales.groupBy("item_id").agg(
-        F.sum("units_sold").alias("total_units_sold"),
-        repeatable_sum(F.col("revenue")).alias("total_revenue"),
-        repeatable_avg(F.col("marketplace_price")).alias("avg_marketplace_price"),
-        F.count("seller_id").alias("num_sellers"),
+    found = totals(
+        sales,
+        ["item_id"],
+        sums={"total_revenue": F.col("revenue")},
+        means={"avg_marketplace_price": F.col("marketplace_price")},
+        others={
+            "total_units_sold": (F.sum("units_sold"), F.sum),
+            "num_sellers": (F.count("seller_id"), F.sum),
+        },
+    )
+    return found.select(
+        "item_id", "total_units_sold", "total_revenue", "avg_marketplace_price", "num_sellers"
     )
 
 
