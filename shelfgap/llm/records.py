@@ -20,6 +20,7 @@ index rows in any order reads each record by its offset.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -38,6 +39,10 @@ NO_ID, WIDE = 1, 2
 FILE_TEXT_BYTES = 16 << 20  # text per record file
 CACHED_WORDS = 1_000_000  # per Python worker
 READ_AT_ONCE = 4 << 20
+#: Letters that are one code point, and a letter, in any form; each has one small letter.
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+#: Signs that are one token run together, whatever they are; the apostrophe is not.
+_SIGNS = ".,;:!?*#$%&)"
 
 INDEX = "file string, offset long, n_bytes long, doc_id long, n_tokens long, start_in_file long"
 
@@ -83,16 +88,17 @@ class _WordIds(dict):
         return np.array(self.encode(text, add_special_tokens=False).ids, self.code).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
-        # ASCII letters are one token run, in small letters, and full stops and commas after them
-        # another, so that fewer different words reach the tokenizer. Other letters may change
-        # their kind when they are normalized, so any other word goes to it as it is.
-        stem = word.rstrip(b".,")
-        if stem != word and stem.isalpha():
-            value = self[stem] + self[word[len(stem) :]]
-        elif word.isalpha() and not word.islower():
-            value = self[word.lower()]
+        # Plain letters are one token run, in small letters, and signs after them another, so that
+        # fewer different words reach the tokenizer. Other letters may change their kind when they
+        # are normalized, so any other word goes to it as it is.
+        letters = word.decode("utf-8", "replace")
+        stem = letters.rstrip(_SIGNS)
+        if stem != letters and _PLAIN(stem):
+            value = self[stem.encode()] + self[letters[len(stem) :].encode()]
+        elif _PLAIN(letters) and letters != letters.lower():
+            value = self[letters.lower().encode()]
         else:
-            value = self.ids(word.decode("utf-8", "replace"))
+            value = self.ids(letters)
         self[word] = value
         return value
 
