@@ -10,6 +10,7 @@ from contract.views import (
     RAW_CATALOG,
     RAW_COMPANY_SALES,
     RAW_COMPETITOR_SALES,
+    UNEVEN_LINES,
 )
 
 _NAMES = {"text": "varchar", "lineitem": "lineitem", "part": "part"}
@@ -312,6 +313,7 @@ def _sales_by_status(status: str, tax: str = "l_tax", revenue: str = "l_extended
     from lineitem where l_linestatus = '{status}'"""
 
 
+_LINES = UNEVEN_LINES.replace("select {header} union all", "").format(**_NAMES)
 _SALE_KEY = ["seller_id", "item_id"]
 _MERGED = _newest(
     f"{_sales_by_status('F')} union all {_sales_by_status('O')}",
@@ -426,6 +428,17 @@ ORACLES: dict[str, str] = {
         (select count(*) from ctop) as company_top_items,
         (select count(*) from ktop) as competitor_top_items,
         (select count(*) from best) as recommendations""",
+    "malformed_quarantine": f"""select distinct line as row_text, 'row_malformed' as dq_failure_reason
+        from ({_LINES}) l where len(string_split(line, ',')) <> 4""",
+    "even_lines_table": _newest(
+        f"""select string_split(line, ',')[1] as item_id, cast(string_split(line, ',')[2] as int) as units_sold,
+            cast(string_split(line, ',')[3] as double) as revenue, cast(string_split(line, ',')[4] as date) as sale_date
+            from ({_LINES}) l where len(string_split(line, ',')) = 4""",
+        ["item_id"],
+        ["sale_date", "units_sold", "revenue"],
+        ["item_id", "units_sold", "revenue", "sale_date"],
+    ),
+    "incremental_table": _table("competitor_sales"),
     "bronze_round_trip": f"select * from ({_RAW['competitor_sales']}) r",
     "quarantine_round_trip": _quarantine("competitor_sales"),
     "line_break_round_trip": f"""select cast(l_orderkey as varchar) as l_orderkey, line, note

@@ -14,12 +14,12 @@ from shelfgap.functions import parsing
 from shelfgap.operators import gaps, scoring, toplists
 from shelfgap.operators.cleaning import clean, typed
 from shelfgap.operators.keyed import latest_per_key, merge_latest
-from shelfgap.operators.quality import judge, quality_metrics, split
+from shelfgap.operators.quality import REASON, ROW_MALFORMED, judge, quality_metrics, split
 from shelfgap.plans import jobs
 from shelfgap.plans.config import DatasetPaths, JobConfig, ResultPaths
 from shelfgap.sources.staging import Staging
 from shelfgap.sources.tables import read_table, upsert_table, write_table
-from shelfgap.sources.text import read_text, write_text
+from shelfgap.sources.text import MALFORMED, read_text, write_text
 from shelfgap.specs import (
     CATEGORY_LABELS,
     COMPANY_SALES,
@@ -453,14 +453,50 @@ def parquet_round_trip(src: Source) -> DataFrame:
 def bronze_round_trip(src: Source) -> DataFrame:
     """The raw text as an ingest keeps it."""
     paths = _ingested(src, COMPETITOR_SALES, jobs.Options())
-    return src.spark.read.parquet(paths.bronze)
+    return src.spark.read.parquet(paths.bronze).drop(MALFORMED)
 
 
 @query
 def quarantine_round_trip(src: Source) -> DataFrame:
     """The quarantine as an ingest writes it."""
     paths = _ingested(src, COMPETITOR_SALES, jobs.Options(quarantine_format="parquet"))
-    return src.spark.read.parquet(paths.quarantine)
+    return src.spark.read.parquet(paths.quarantine).drop(MALFORMED)
+
+
+@query
+def malformed_quarantine(src: Source) -> DataFrame:
+    """Lines of too few or too many values in the quarantine of an ingest, with their text."""
+    root = _staging(src).new_path()
+    paths = DatasetPaths(f"{root}/in", f"{root}/table", f"{root}/quarantine")
+    src.uneven_lines.write.text(paths.input)
+    jobs.ingest(src.spark, COMPANY_SALES, paths, jobs.Options(quarantine_format="parquet"))
+    found = src.spark.read.parquet(paths.quarantine)
+    return found.where(F.col(REASON) == ROW_MALFORMED).select(MALFORMED, REASON)
+
+
+@query
+def even_lines_table(src: Source) -> DataFrame:
+    """The table that the same ingest makes of the lines that are not malformed."""
+    root = _staging(src).new_path()
+    paths = DatasetPaths(f"{root}/in", f"{root}/table", f"{root}/quarantine")
+    src.uneven_lines.write.text(paths.input)
+    jobs.ingest(src.spark, COMPANY_SALES, paths, jobs.Options(quarantine_format="parquet"))
+    return read_table(src.spark, paths.table)
+
+
+@query
+def incremental_table(src: Source) -> DataFrame:
+    """Three deliveries to one folder, each ingest reading the files that are new; the last one finds
+    none."""
+    root = _staging(src).new_path()
+    paths = DatasetPaths(f"{root}/in", f"{root}/table", f"{root}/quarantine", ledger=f"{root}/ledger")
+    options = jobs.Options(write="upsert", incremental=True)
+    for k in range(3):
+        part = src.raw_competitor_sales.where(f"pmod(hash(item_id), 3) = {k}")
+        write_text(part, f"{paths.input}/{k}")
+        jobs.ingest(src.spark, COMPETITOR_SALES, paths, options)
+    jobs.ingest(src.spark, COMPETITOR_SALES, paths, options)
+    return read_table(src.spark, paths.table)
 
 
 @query

@@ -120,6 +120,18 @@ from {lineitem}
 """
 
 
+#: Lines of a CSV file of company sales: some lack their last values, some have one too many.
+UNEVEN_LINES = """
+select {header} union all
+select concat(cast(l_partkey as {text}), ',', cast(cast(l_quantity as int) as {text}),
+  case when l_discount = 0.03 then '' else concat(',', cast(l_extendedprice as {text})) end,
+  case when l_discount = 0.03 or l_tax = 0.04 then '' else concat(',', cast(cast(l_shipdate as date) as {text})) end,
+  case when l_discount = 0.05 and l_tax <> 0.04 then ',extra' else '' end) as line
+from {lineitem}
+"""
+UNEVEN_HEADER = "'item_id,units_sold,revenue,sale_date' as line"
+
+
 class Source:
     """The given tables, each opened once, and the roles taken from them."""
 
@@ -148,6 +160,12 @@ class Source:
             "l_orderkey", F.col("l_orderkey").cast("string")
         )
 
+    @property
+    def uneven_lines(self) -> DataFrame:
+        """The lines with the header first, as one file has it."""
+        sql = UNEVEN_LINES.replace("{header}", UNEVEN_HEADER)
+        return self._raw(sql, "lineitem").coalesce(1)
+
     @property
     def raw_company_sales(self) -> DataFrame:
         return self._raw(RAW_COMPANY_SALES, "lineitem")

@@ -8,12 +8,14 @@ from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from shelfgap.sources.text import MALFORMED
 from shelfgap.specs import Rule
 
 REASON = "dq_failure_reason"
+ROW_MALFORMED = "row_malformed"
 _FAILED = "_dq_failed"
 _HELD = ""
 _UNJUDGED = "?"
@@ -51,12 +53,15 @@ def judge(
     """Each row with the reasons of the rules it fails.
 
     A rule over a NULL value is neither true nor false. ``reject`` counts it as failed;
-    ``ignore`` counts it as neither, and such a row can then miss both outputs.
+    ``ignore`` counts it as neither, and such a row can then miss both outputs. A malformed row fails
+    for that alone, as its values may stand in the wrong columns.
     """
     if null_policy not in ("reject", "ignore"):
         raise ValueError(f"null policy must be 'reject' or 'ignore', not {null_policy!r}")
     day = _day(as_of)
     outcomes = F.array(*[_outcome(rule, day, null_policy) for rule in rules])
+    if MALFORMED in df.columns:
+        outcomes = F.when(F.col(MALFORMED).isNull(), outcomes).otherwise(F.array(F.lit(ROW_MALFORMED)))
     return df.withColumn(_FAILED, F.array_remove(outcomes, _HELD))
 
 
@@ -88,14 +93,27 @@ def split(
     return Split(accepted(judged), rejected(judged, distinct_rows))
 
 
-def quality_metrics(judged: DataFrame) -> DataFrame:
-    """One row of counts; ``failed_rules`` counts a row once per rule it fails."""
+def quality_counts() -> list[Column]:
+    """Counts over judged rows; ``failed_rules`` counts a row once per rule it fails."""
     doubts = F.size(_FAILED)
     failed = F.size(F.array_remove(_FAILED, _UNJUDGED))
-    return judged.agg(
+    return [
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(doubts == 0).alias("good_rows"),
         F.count_if(failed > 0).alias("rejected_rows"),
         F.count_if((doubts > 0) & (failed == 0)).alias("unjudged_rows"),
         F.coalesce(F.sum(failed), F.lit(0)).cast("bigint").alias("failed_rules"),
-    )
+    ]
+
+
+def quality_metrics(judged: DataFrame) -> DataFrame:
+    """One row of ``quality_counts``."""
+    return judged.agg(*quality_counts())
+
+
+def observed(judged: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows, and the counts over them that whoever writes the rows gets by the way. To be put
+    behind the last shuffle, where a repeated task does not count twice."""
+    seen = Observation()
+    malformed = F.col(MALFORMED).isNotNull() if MALFORMED in judged.columns else F.lit(False)
+    return judged.observe(seen, *quality_counts(), F.count_if(malformed).alias("malformed_rows")), seen

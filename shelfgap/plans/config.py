@@ -22,12 +22,14 @@ RESULT_KEY = "output_csv"
 
 @dataclass(frozen=True)
 class DatasetPaths:
-    """Optional per dataset: ``quarantine_path`` and ``bronze_path`` (a copy of the raw text)."""
+    """Optional per dataset: ``quarantine_path``, ``bronze_path`` (a copy of the raw text) and
+    ``ledger_path`` (the files that an incremental ingest has read)."""
 
     input: str
     table: str
     quarantine: str
     bronze: str | None = None
+    ledger: str | None = None
 
 
 @dataclass(frozen=True)
@@ -51,6 +53,14 @@ class Options:
     as_of: str | None = None
     line_breaks: bool = False  # quoted line breaks in the input; its files are then not split
     quarantine_format: str = "csv"  # or parquet, which keeps line breaks and raw values nested
+    malformed: str = "quarantine"  # or pad: fill up short rows and cut long ones
+    incremental: bool = False  # read files that no earlier run has read; needs upsert
+
+    def __post_init__(self) -> None:
+        if self.malformed not in ("quarantine", "pad"):
+            raise ValueError(f"malformed must be 'quarantine' or 'pad', not {self.malformed!r}")
+        if self.incremental and self.write != "upsert":
+            raise ValueError("an incremental ingest needs write: upsert, or it would lose earlier rows")
 
 
 @dataclass(frozen=True)
@@ -60,9 +70,8 @@ class JobConfig:
     options: Options = Options()
 
 
-def _quarantine_beside(table: str, name: str) -> str:
-    base = os.path.dirname(os.path.dirname(table.rstrip("/")))
-    return f"{base}/quarantine/{name}_quarantine"
+def _beside(table: str, folder: str, name: str) -> str:
+    return f"{os.path.dirname(os.path.dirname(table.rstrip('/')))}/{folder}/{name}"
 
 
 def parse_config(content: Mapping[str, Any]) -> JobConfig:
@@ -74,8 +83,10 @@ def parse_config(content: Mapping[str, Any]) -> JobConfig:
             datasets[name] = DatasetPaths(
                 input=section[INPUT_KEY],
                 table=table,
-                quarantine=section.get("quarantine_path") or _quarantine_beside(table, name),
+                quarantine=section.get("quarantine_path")
+                or _beside(table, "quarantine", f"{name}_quarantine"),
                 bronze=section.get("bronze_path"),
+                ledger=section.get("ledger_path") or _beside(table, "ledger", name),
             )
     result = None
     if RESULT_SECTION in content:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfgap.operators.cleaning import RAW, clean
-from shelfgap.operators.quality import accepted, judge, quality_metrics, rejected
+from shelfgap.operators.quality import accepted, judge, observed, rejected
 from shelfgap.operators.scoring import recommend
 from shelfgap.operators.toplists import (
     company_top_items,
@@ -24,9 +24,10 @@ from shelfgap.plans.config import (
     Options,
     ResultPaths,
 )
+from shelfgap.sources.ledger import literal_path, new_files, note_files
 from shelfgap.sources.staging import Staging
 from shelfgap.sources.tables import read_table, table_exists, upsert_table, write_table
-from shelfgap.sources.text import read_text, write_text
+from shelfgap.sources.text import MALFORMED, read_text, write_text
 from shelfgap.specs import DATASETS, DatasetSpec, RECOMMENDATION_SCHEMA
 
 
@@ -37,6 +38,8 @@ class IngestReport:
     rejected_rows: int
     unjudged_rows: int
     failed_rules: int
+    malformed_rows: int = 0
+    new_files: int | None = None  # of an incremental ingest
 
 
 @dataclass(frozen=True)
@@ -69,17 +72,28 @@ def ingest(
 ) -> IngestReport:
     """CSV to keyed table and quarantine.
 
-    The cleaned and judged rows are staged once; counts, table and quarantine read that copy,
-    so they agree and the text is parsed one time. The table is left alone if no row is good.
+    The cleaned and judged rows are staged once and counted as they are written; table and
+    quarantine read that copy, so they agree and the text is parsed one time. The table is left alone
+    if no row is good. An incremental ingest reads the files that no earlier one has read, and changes
+    nothing if there are none.
     """
     with Staging(spark) as staging:
-        raw = read_text(spark, paths.input, options.line_breaks)
+        source, files = paths.input, None
+        if options.incremental:
+            # As many names as the delivery has files, which the driver has to list anyway.
+            files = staging.save(new_files(spark, paths.input, paths.ledger))
+            source = [literal_path(r["path"]) for r in files.select("path").collect()]
+            if not source:
+                return IngestReport(0, 0, 0, 0, 0, 0, 0)
+        malformed = MALFORMED if options.malformed == "quarantine" else None
+        raw = read_text(spark, source, options.line_breaks, malformed)
         if paths.bronze:
             raw.write.mode("overwrite").parquet(paths.bronze)
             raw = spark.read.parquet(paths.bronze)
         cleaned = clean(raw, spec, options.dates, options.keep_raw, options.as_of)
-        judged = staging.save(judge(cleaned, spec.rules, options.as_of, options.null_policy))
-        report = IngestReport(*quality_metrics(judged).first())
+        judged, seen = observed(judge(cleaned, spec.rules, options.as_of, options.null_policy))
+        judged = staging.save(judged)
+        report = IngestReport(**seen.get, new_files=None if files is None else len(source))
         good = accepted(judged).select(*spec.columns)
         if preview:
             raw.show(5, truncate=False)
@@ -94,6 +108,8 @@ def ingest(
             bad.write.mode("overwrite").parquet(paths.quarantine)
         else:
             write_text(flat_quarantine(bad), paths.quarantine)
+        if files is not None:
+            note_files(files, paths.ledger)
     return report
 
 

@@ -20,6 +20,12 @@ def shared_root(spark: SparkSession) -> str:
     return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name, on whatever file system holds it."""
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(name)
+
+
 class Staging:
     """A folder of its own under ``root``, or under the session's shared folder.
 

@@ -16,13 +16,13 @@ from __future__ import annotations
 import json
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfgap.functions.widening import aligned
 from shelfgap.operators.keyed import latest_per_key, merge_latest
+from shelfgap.sources.staging import path_exists
 from shelfgap.specs import DatasetSpec
 
 DEFAULT_FORMAT = "parquet"
@@ -55,12 +55,7 @@ def _options(spec: DatasetSpec, table_format: str) -> dict[str, str]:
 
 
 def _opened(spark: SparkSession, schema: str, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
 
 
 def _current(spark: SparkSession, path: str) -> _Version | None:
@@ -228,5 +223,4 @@ def upsert_table(
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    path = path.rstrip("/")
-    return _current(spark, path) is not None or _opened(spark, "x int", path) is not None
+    return path_exists(spark, path)

@@ -6,9 +6,10 @@ import yaml
 
 from shelfgap.__main__ import main
 from shelfgap.plans.config import parse_config
-from shelfgap.plans.jobs import RecommendationReport, run_all, run_recommendation
+from shelfgap.plans import jobs
+from shelfgap.plans.jobs import RecommendationReport, ingest, run_all, run_recommendation
 from shelfgap.sources.tables import read_table
-from shelfgap.specs import RECOMMENDATION_SCHEMA
+from shelfgap.specs import COMPANY_SALES, COMPETITOR_SALES, RECOMMENDATION_SCHEMA
 
 CATALOG = """seller_id,item_id,item_name,category,marketplace_price,stock_qty,extra
  s1 ,i1,red MUG,home,2.5,3,x
@@ -189,3 +190,85 @@ def test_line_breaks_and_empty_values(spark, job):
     assert spark.read.parquet(f"{tmp_path}/bronze").where("item_name = ''").count() == 1
     quarantine = spark.read.parquet(f"{tmp_path}/quarantine/seller_catalog_quarantine")
     assert {r.raw.item_name for r in quarantine.collect()} == {"", "shoe"}
+
+
+def test_malformed_rows_go_to_the_quarantine(spark, job):
+    tmp_path, content = job
+    text = COMPANY + "i1,7\ni2,1,2.0,2024-01-09,more,and more\nnew,1,1.0,2024-01-01\ni1,7\n"
+    (tmp_path / "company_sales.csv").write_text(text)
+    config = parse_config(content)
+    report = run_all(spark, config)["company_sales"]
+    assert (report.malformed_rows, report.rejected_rows) == (2, 2)  # a repeated line counts once
+    path = f"{tmp_path}/quarantine/company_sales_quarantine"
+    quarantine = spark.read.option("header", True).csv(path)
+    found = quarantine.where("dq_failure_reason = 'row_malformed'").select("row_text").collect()
+    assert {r.row_text for r in found} == {"i1,7", "i2,1,2.0,2024-01-09,more,and more"}
+    table = read_table(spark, config.datasets["company_sales"].table)
+    # The short row has not taken the good ones of its key with it.
+    assert {(r.item_id, r.units_sold) for r in table.collect()} >= {("i1", 5), ("new", 1), ("i2", 12)}
+    content["options"] = {"malformed": "pad"}
+    report = run_all(spark, parse_config(content))["company_sales"]
+    assert report.malformed_rows == 0 and "row_text" not in spark.read.option("header", True).csv(path).columns
+    content["options"] = {"malformed": "lose"}
+    with pytest.raises(ValueError, match="malformed"):
+        parse_config(content)
+
+
+def test_an_incremental_ingest_reads_new_files_only(spark, job):
+    tmp_path, content = job
+    folder = tmp_path / "deliveries" / "day [1]"
+    folder.mkdir(parents=True)
+    (folder / "a{1}.csv").write_text(COMPANY)
+    content["company_sales"]["input_path"] = f"{tmp_path}/deliveries"
+    content["options"] = {"incremental": True}
+    with pytest.raises(ValueError, match="upsert"):
+        parse_config(content)
+    content["options"]["write"] = "upsert"
+    paths = parse_config(content).datasets["company_sales"]
+
+    def run():
+        report = ingest(spark, COMPANY_SALES, paths, parse_config(content).options)
+        table = read_table(spark, paths.table)
+        return report.new_files, report.input_rows, {r.item_id: r.units_sold for r in table.collect()}
+
+    first = {"i1": 5, "i2": 12, "i5": 0, "i9": 50}
+    assert run() == (1, 4, first)
+    assert run() == (0, 0, first)
+    later = tmp_path / "deliveries" / "b c.csv"
+    later.write_text("item_id,units_sold,revenue,sale_date\ni1,6,1.0,2024-05-01\n")
+    assert run() == (1, 1, {**first, "i1": 6})
+    # A file that has been replaced is new.
+    later.write_text("item_id,units_sold,revenue,sale_date\ni1,7,1.0,2024-05-02\nx,1,1.0,2024-05-02\n")
+    assert run() == (1, 2, {**first, "i1": 7, "x": 1})
+    # A run that fails before the end reads its files again.
+    (tmp_path / "deliveries" / "c.csv").write_text("item_id,units_sold,revenue,sale_date\ny,1,1.0,2024-05-02\n")
+    with pytest.MonkeyPatch.context() as m, pytest.raises(RuntimeError, match="lost"):
+        m.setattr(jobs, "note_files", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        run()
+    assert run() == (1, 1, {**first, "i1": 7, "x": 1, "y": 1})
+    assert run()[0] == 0
+
+
+def test_counts_take_no_pass_of_their_own(spark, job):
+    tmp_path, content = job
+    paths = parse_config(content).datasets["competitor_sales"]
+
+    def jobs_of(group, work):
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            work()
+        finally:
+            spark.sparkContext.setJobGroup("", "")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    counted = jobs_of("counted", lambda: ingest(spark, COMPETITOR_SALES, paths))
+
+    def without(judged):
+        class Nothing:
+            get = dict.fromkeys(["input_rows", "good_rows", "rejected_rows", "unjudged_rows", "failed_rules"], 1)
+
+        return judged, Nothing
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(jobs, "observed", without)
+        assert jobs_of("plain", lambda: ingest(spark, COMPETITOR_SALES, paths)) >= counted > 0
