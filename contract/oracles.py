@@ -439,6 +439,7 @@ ORACLES: dict[str, str] = {
         ["item_id", "units_sold", "revenue", "sale_date"],
     ),
     "incremental_table": _table("competitor_sales"),
+    "replayed_table": _table("competitor_sales"),
     "bronze_round_trip": f"select * from ({_RAW['competitor_sales']}) r",
     "quarantine_round_trip": _quarantine("competitor_sales"),
     "line_break_round_trip": f"""select cast(l_orderkey as varchar) as l_orderkey, line, note

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -507,6 +508,25 @@ def line_break_round_trip(src: Source) -> DataFrame:
     return read_text(src.spark, path, line_breaks=True)
 
 
+@query
+def replayed_table(src: Source) -> DataFrame:
+    """A table made again from the bronze copies of two load days, the later one first."""
+    root = _staging(src).new_path()
+    paths = DatasetPaths(
+        f"{root}/in", f"{root}/table", f"{root}/quarantine", f"{root}/bronze", f"{root}/ledger"
+    )
+    days = ["2100-01-01", "2100-01-02"]
+    for k, day in enumerate(days):
+        part = src.raw_competitor_sales.where(f"pmod(hash(item_id), 2) = {k}")
+        write_text(part, f"{paths.input}/{k}")
+        options = jobs.Options(write="upsert", incremental=True, as_of=day)
+        jobs.ingest(src.spark, COMPETITOR_SALES, paths, options)
+    again = replace(paths, table=f"{root}/again")
+    for day in reversed(days):
+        jobs.replay(src.spark, COMPETITOR_SALES, again, day)
+    return read_table(src.spark, again.table)
+
+
 def _ingested(src: Source, spec: DatasetSpec, options: jobs.Options) -> DatasetPaths:
     root = _staging(src).new_path()
     paths = DatasetPaths(f"{root}/in", f"{root}/table", f"{root}/quarantine", f"{root}/bronze")

@@ -111,9 +111,18 @@ def quality_metrics(judged: DataFrame) -> DataFrame:
     return judged.agg(*quality_counts())
 
 
+def _all_counts(judged: DataFrame) -> list[Column]:
+    malformed = F.col(MALFORMED).isNotNull() if MALFORMED in judged.columns else F.lit(False)
+    return [*quality_counts(), F.count_if(malformed).alias("malformed_rows")]
+
+
+def counted(judged: DataFrame) -> dict[str, int]:
+    """``quality_counts`` and the number of malformed rows."""
+    return judged.agg(*_all_counts(judged)).first().asDict()
+
+
 def observed(judged: DataFrame) -> tuple[DataFrame, Observation]:
-    """The rows, and the counts over them that whoever writes the rows gets by the way. To be put
-    behind the last shuffle, where a repeated task does not count twice."""
+    """The rows, and the same counts, which whoever writes the rows gets by the way. To be put behind
+    the last shuffle, where a repeated task does not count twice."""
     seen = Observation()
-    malformed = F.col(MALFORMED).isNotNull() if MALFORMED in judged.columns else F.lit(False)
-    return judged.observe(seen, *quality_counts(), F.count_if(malformed).alias("malformed_rows")), seen
+    return judged.observe(seen, *_all_counts(judged)), seen

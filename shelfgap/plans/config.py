@@ -22,8 +22,8 @@ RESULT_KEY = "output_csv"
 
 @dataclass(frozen=True)
 class DatasetPaths:
-    """Optional per dataset: ``quarantine_path``, ``bronze_path`` (a copy of the raw text) and
-    ``ledger_path`` (the files that an incremental ingest has read)."""
+    """Optional per dataset: ``quarantine_path``, ``bronze_path`` (a copy of the raw text,
+    of an incremental ingest by load day) and ``ledger_path`` (the files that an incremental ingest has read)."""
 
     input: str
     table: str

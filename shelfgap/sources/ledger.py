@@ -26,6 +26,18 @@ def input_files(spark: SparkSession, path: str) -> DataFrame:
     return found.select("path", *[F.col(f"_metadata.{c}").alias(c) for c in FILE])
 
 
+def files_digest(files: DataFrame) -> str:
+    """A name for a set of files, which changes if one is added, removed or replaced."""
+    # Of a sum and an exclusive or of hashes, neither depends on the order of the files.
+    each = F.xxhash64(*FILE)
+    row = files.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.bit_xor(each), F.lit(0)).alias("x"),
+        F.coalesce(F.sum(each.cast("decimal(38,0)")), F.lit(0)).alias("s"),
+    ).first()
+    return f"{row['n']}-{row['x']}-{row['s']}"
+
+
 def read_files(spark: SparkSession, ledger: str) -> DataFrame:
     if not path_exists(spark, ledger):
         return spark.createDataFrame([], _SCHEMA)

@@ -6,7 +6,9 @@ often it is read, and gives the planner its true size.
 
 from __future__ import annotations
 
+import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,7 @@ class Staging:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = f"{(root or shared_root(spark)).rstrip('/')}/shelfgap-{uuid.uuid4().hex}"
+        self._steps: list[str] = []
 
     def new_path(self) -> str:
         return f"{self.root}/{uuid.uuid4().hex}"
@@ -46,11 +49,27 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def step(self, name: str, build: Callable[[], DataFrame]) -> tuple[DataFrame, bool]:
+        """The rows that ``build`` makes, and whether an earlier run has left them.
+
+        ``name`` has to tell the step's inputs and parameters. The files lie beside the folders of
+        all runs; they are complete if the writer's mark of success is there, and are removed with
+        the folder.
+        """
+        path = f"{os.path.dirname(self.root)}/shelfgap-step-{name}"
+        self._steps.append(path)
+        if path_exists(self.spark, f"{path}/_SUCCESS"):
+            return self.spark.read.parquet(path), True
+        df = build()
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), False
+
     def clear(self) -> None:
         jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.root)
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(conf).delete(folder, True)
+        for path in (self.root, *self._steps):
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
 
     def __enter__(self) -> Staging:
         return self

@@ -1,5 +1,8 @@
 import datetime
 import glob
+import shutil
+import time
+from dataclasses import replace
 
 import pytest
 import yaml
@@ -7,7 +10,7 @@ import yaml
 from shelfgap.__main__ import main
 from shelfgap.plans.config import parse_config
 from shelfgap.plans import jobs
-from shelfgap.plans.jobs import RecommendationReport, ingest, run_all, run_recommendation
+from shelfgap.plans.jobs import RecommendationReport, ingest, replay, run_all, run_recommendation
 from shelfgap.sources.tables import read_table
 from shelfgap.specs import COMPANY_SALES, COMPETITOR_SALES, RECOMMENDATION_SCHEMA
 
@@ -272,3 +275,80 @@ def test_counts_take_no_pass_of_their_own(spark, job):
     with pytest.MonkeyPatch.context() as m:
         m.setattr(jobs, "observed", without)
         assert jobs_of("plain", lambda: ingest(spark, COMPETITOR_SALES, paths)) >= counted > 0
+
+
+def test_a_failed_ingest_goes_on_from_its_staged_rows(spark, job):
+    tmp_path, content = job
+    config = parse_config(content)
+    paths = config.datasets["company_sales"]
+    parsed = []
+    clean = jobs.clean
+
+    def spy(*a):
+        parsed.append(a[1].name)
+        return clean(*a)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(jobs, "clean", spy)
+        with pytest.MonkeyPatch.context() as broken, pytest.raises(RuntimeError, match="lost"):
+            broken.setattr(jobs, "write_table", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+            ingest(spark, COMPANY_SALES, paths)
+        first = ingest(spark, COMPANY_SALES, paths)
+        assert parsed == ["company_sales"]
+        # Whole again, changed and parametrized otherwise it starts anew.
+        assert ingest(spark, COMPANY_SALES, paths) == first and len(parsed) == 2
+        with pytest.MonkeyPatch.context() as broken, pytest.raises(RuntimeError, match="lost"):
+            broken.setattr(jobs, "write_table", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+            ingest(spark, COMPANY_SALES, paths)
+        (tmp_path / "company_sales.csv").write_text(COMPANY + "z,1,1.0,2024-01-01\n")
+        assert ingest(spark, COMPANY_SALES, paths).good_rows == first.good_rows + 1 and len(parsed) == 4
+    table = read_table(spark, paths.table)
+    assert table.where("item_id = 'z'").count() == 1
+    for path in glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/shelfgap-step-*"):
+        shutil.rmtree(path)
+
+
+def test_the_first_failure_cancels_the_other_ingests(spark, job):
+    _, content = job
+    ended = []
+
+    def one(spark, spec, *more):
+        if spec.name == "company_sales":
+            time.sleep(3)
+            raise RuntimeError("first to fail")
+        try:
+            spark.range(10**13).selectExpr("sum(id % 7)").collect()
+        except Exception as error:
+            ended.append(spec.name)
+            raise error
+
+    start = time.monotonic()
+    with pytest.MonkeyPatch.context() as m, pytest.raises(RuntimeError, match="first to fail"):
+        m.setattr(jobs, "ingest", one)
+        run_all(spark, parse_config(content))
+    assert sorted(ended) == ["competitor_sales", "seller_catalog"]
+    assert time.monotonic() - start < 60
+    assert spark.range(5).count() == 5  # other jobs of the session go on
+
+
+def test_replay_of_a_day(spark, job):
+    tmp_path, content = job
+    (tmp_path / "in").mkdir()
+    content["company_sales"] |= {"input_path": f"{tmp_path}/in", "bronze_path": f"{tmp_path}/bronze"}
+    deliveries = {"2024-03-01": COMPANY, "2024-03-02": "item_id,units_sold,revenue,sale_date,note\ni1,8,8.0,2024-03-01,n\n"}
+    for day, text in deliveries.items():
+        (tmp_path / "in" / f"{day}.csv").write_text(text)
+        content["options"] = {"incremental": True, "write": "upsert", "as_of": day}
+        config = parse_config(content)
+        ingest(spark, COMPANY_SALES, config.datasets["company_sales"], config.options)
+    paths = config.datasets["company_sales"]
+    rows = jobs.bronze_day(spark, paths.bronze, "2024-03-02")
+    assert rows.columns == ["item_id", "units_sold", "revenue", "sale_date", "note", "row_text"]
+    assert rows.count() == 1 and all("load_day=2024-03-02" in f for f in rows.inputFiles())
+    again = replace(paths, table=f"{tmp_path}/other/table", quarantine=f"{tmp_path}/other/quarantine")
+    assert replay(spark, COMPANY_SALES, again, "2024-03-01").good_rows == 4
+    assert {r.units_sold for r in read_table(spark, again.table).where("item_id = 'i1'").collect()} == {5}
+    replay(spark, COMPANY_SALES, again, "2024-03-02")
+    replay(spark, COMPANY_SALES, again, "2024-03-01")
+    got = sorted(map(tuple, read_table(spark, again.table).collect()))
+    assert got == sorted(map(tuple, read_table(spark, paths.table).collect()))
