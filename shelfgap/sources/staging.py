@@ -7,6 +7,7 @@ often it is read, and gives the planner its true size.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Callable
 
@@ -16,10 +17,15 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that the session names for such files, else one in the warehouse, which all
-    executors reach as well."""
+    """The folder that the session names for such files. If it names none, one in the warehouse,
+    where driver and executors are one machine; a cluster has to name one that all of them reach."""
     configured = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging"
+    if configured:
+        return configured
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"{_SETTING} has to name a folder that all machines of {master} reach")
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
