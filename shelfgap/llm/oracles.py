@@ -79,6 +79,53 @@ select page_id, host, path, rule, coalesce(action, spread, 'allow') as verdict
 from keyed k left join decided d on k.url = d.url left join classes c on k.node = c.node
 """
 
+# The crc32 is the usual one, byte by byte over a table that its polynomial gives.
+_SPELLING = f"""
+with recursive crc_table as (
+  select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as entries),
+found as (
+  select coalesce(cast(doc_id as varchar), '') as doc,
+    translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{_UPPER}', '{_LOWER}') as run
+  from documents),
+counted as (select doc, run, count(*) as c from found where length(run) >= 5 group by doc, run),
+hashed as (
+  select run, c, xor(4294967295, list_reduce(
+    [4294967295] || flatten(list_transform(string_split(doc || ':' || run, ''), lambda x:
+      case when unicode(x) < 128 then [unicode(x)::bigint] else [195::bigint, unicode(x) - 64] end)),
+    lambda s, b: xor(s >> 8, entries[xor(s & 255, b) + 1]))) as h
+  from counted, crc_table),
+damaged as (
+  select c, case when h % 97 <> 0 then run
+    else left(run, h % length(run)) || substr(run, h % length(run) + 2) end as word
+  from hashed),
+words as materialized (
+  select word, cast(sum(c) as bigint) as n from damaged
+  where length(word) >= 5 group by word having sum(c) >= 3),
+rests as materialized (
+  select word, n, i, left(word, i - 1) || substr(word, i + 1) as rest
+  from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+near as materialized (
+  select distinct a.word, b.word as other, b.n from rests a join rests b
+    on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select a.word, b.word, b.n from rests a join words b on a.rest = b.word
+  union select b.word, a.word, a.n from rests a join words b on a.rest = b.word),
+best as (
+  select word, other, n, count(*) over (partition by word) as n_near,
+    row_number() over (partition by word order by n desc, other) as rn
+  from near),
+formed as materialized (
+  select w.word, w.n, coalesce(n_near, 0) as n_near,
+    case when b.n >= 2 * w.n then other end as form, case when b.n >= 2 * w.n then b.n end as form_n
+  from words w left join best b on w.word = b.word and rn = 1),
+chain(word, node, form) as (
+  select word, word, form from formed
+  union all
+  select c.word, f.word, f.form from chain c join formed f on c.form = f.word)
+select f.word, f.form, c.node as root, f.n, f.n_near, f.form_n
+from formed f join chain c on f.word = c.word and c.form is null
+"""
+
 _CODE_ROUNDS = 6
 
 
@@ -148,6 +195,7 @@ from vectors v join ends e on v.vec_id = e.a left join counts c on v.vec_id = c.
 ORACLES: dict[str, str] = {
     "op8_source_mix": _MIX,
     "op10_url_verdicts": _URLS,
+    "op11_spelling_variants": _SPELLING,
     "op12_vector_codes": _codes(),
     "op13_embedding_near_dedup": _VECTOR_LINKS,
 }

@@ -8,7 +8,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from shelfgap.llm import spelling
+from shelfgap.llm.oracles import ORACLES
 from shelfgap.llm.queries import QUERIES
+from tests.compare import open_tables, spark_rows, sql_rows
 from tests.llm.cases import LONG, TEXTS, documents, no_documents, rows
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -126,3 +128,10 @@ def test_query(spark):
     texts = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     n = counts(texts)
     assert rows(QUERIES["op11_spelling_variants"](spark, sf_dir)) == brute(n, pairs=by_deletion(n))
+
+
+def test_query_equals_sql(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    types, found = spark_rows(QUERIES["op11_spelling_variants"](spark, sf_dir))
+    want_types, want = sql_rows(open_tables(sf_dir), ORACLES["op11_spelling_variants"])
+    assert types == want_types and found == want
