@@ -48,9 +48,8 @@ def number_items(items: DataFrame, order: Sequence[Column], staging: Staging) ->
     sorts the whole list. The partitions are staged first: their bounds come from sampling and
     have to be the same for counting and for numbering.
     """
-    ranged = staging.save(
-        items.repartitionByRange(*order).withColumn(_CHUNK, F.spark_partition_id())
-    )
+    kept = staging.save(items)  # sampling would make them a second time
+    ranged = staging.save(kept.repartitionByRange(*order).withColumn(_CHUNK, F.spark_partition_id()))
     # One count per range partition comes to the driver, never more than shuffle partitions.
     counts = dict(ranged.groupBy(_CHUNK).count().collect())
     sizes = [counts.get(chunk, 0) for chunk in range(max(counts, default=-1) + 1)]
