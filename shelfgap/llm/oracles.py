@@ -4,12 +4,12 @@ from __future__ import annotations
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
-# Positions in a stream and the common level of targets are the operator's definitions; the
-# schedule does not show in the words taken, so it is not repeated here.
+# Positions in a stream, the common level of targets, the points of the slots and the blocks of 128
+# words are the operator's definitions.
 _MIX = f"""
 with sizes as (
   select doc_id, source, cast({_WORDS} as bigint) as size,
-    coalesce(md5(cast(doc_id as varchar)), '') as k
+    coalesce(md5(cast(doc_id as varchar)), md5(text), '') as k
   from documents),
 numbered as (
   select source, source_size, 2.0 * source_size as cap,
@@ -26,15 +26,39 @@ targets as (
   select source, source_size, least(cap, coalesce(weight * max(case when level <= cap / weight
     then level end) over (), cap)) as target
   from levels),
+parts as (
+  select source, cast(floor(target) as bigint) as wanted from targets where floor(target) > 0),
+ends as (
+  select source, cast(floor(cast(sum(wanted) over (order by source nulls last
+      rows between unbounded preceding and current row) as double)
+    / cast(sum(wanted) over () as double) * 2147483648) as bigint) as hi
+  from parts),
+bounds as (
+  select source, coalesce(lag(hi) over (order by source nulls last), 0) as lo, hi from ends),
+points as (
+  select slot, slot % 2147483648 * 1327217885 % 2147483648 as spot
+  from (select unnest(range((select cast((sum(wanted) + 127) // 128 as bigint) from parts))) as slot) r),
+slots as (
+  select slot, source, row_number() over (partition by source order by slot) - 1 as block
+  from points join bounds on spot >= lo and spot < hi),
 placed as (
-  select s.*, source_size, target, cast(floor(target) as bigint) as wanted,
+  select s.*, source_size, target, row_number() over () as id,
     cast(sum(size) over (partition by s.source order by k, doc_id nulls last, size
       rows between unbounded preceding and current row) as bigint) - size as first
-  from sizes s join targets t on s.source is not distinct from t.source)
-select doc_id, size, source_size, target,
-  cast(greatest(0, least(first + size, wanted) - first)
-    + greatest(0, least(source_size + first + size, wanted) - source_size - first) as bigint) as taken
-from placed
+  from sizes s join targets t on s.source is not distinct from t.source),
+passes as (
+  select id, source, size, first + pass * source_size as start, first + pass * source_size + size as stop
+  from placed cross join (values (0), (1)) p(pass) where size > 0),
+blocks as (
+  select *, unnest(range(start // 128, (stop - 1) // 128 + 1)) as block from passes),
+pieces as (
+  select id, slot, least(stop, (b.block + 1) * 128) - greatest(start, b.block * 128) as words
+  from blocks b join slots s on b.source is not distinct from s.source and b.block = s.block),
+taken as (
+  select id, sum(words) as taken, min(slot) as first_slot, count(*) as n_pieces from pieces group by id)
+select doc_id, size, source_size, target, cast(coalesce(taken, 0) as bigint) as taken, first_slot,
+  cast(coalesce(n_pieces, 0) as bigint) as n_pieces
+from placed left join taken using (id)
 """
 
 _AFTER = "substr(url, strpos(url, '://') + 3)"

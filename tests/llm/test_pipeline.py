@@ -10,7 +10,7 @@ def test_stages_and_registration():
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["known_language", "near_duplicates", "decontaminated", "source_mix", "token_records"]
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 def test_each_stage_works_on_what_the_one_before_kept(spark, tmp_path):
