@@ -81,6 +81,8 @@ def links(pages: DataFrame) -> DataFrame:
     target = (
         F.when(href.contains("://"), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
+        .when(href.startswith("#"), F.col("url"))
+        .when(href.startswith("?"), F.concat(scheme, F.lit("://"), host(F.col("url")), path(F.col("url")), href))
         .when(href.startswith("/"), F.concat(scheme, F.lit("://"), host(F.col("url")), href))
         .otherwise(F.concat(scheme, F.lit("://"), host(F.col("url")), folder, href))
     )
@@ -92,22 +94,28 @@ def rules_table(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> D
     return spark.createDataFrame(list(rules), "action string, host string, path string")
 
 
+def _labels(site: Column) -> Column:
+    return F.length(site) - F.length(F.replace(site, F.lit("."), F.lit(""))) + 1
+
+
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``url``, ``rule`` (host and path) and ``action`` of the longest rule that fits, for the
     distinct URLs that one fits.
 
     A rule fits its host and all subdomains, if the URL's path starts with the rule's. Of two
     equally long ones the allowing one wins. The joins are on (host suffix) and (host suffix, path
-    prefix), so a host with many rules and many pages makes no pairs.
+    prefix), so a host with many rules and many pages makes no pairs. A host is cut to as many
+    labels as some rule has and no others, so the work grows with its length alone; the driver gets
+    these few numbers of labels.
     """
     rules = rules.select("action", F.col("host").alias("at"), F.col("path").alias("prefix"))
     rules = rules.where(F.col("at").isNotNull() & F.col("prefix").isNotNull())
     lengths = rules.groupBy("at").agg(F.collect_set(F.length("prefix")).alias("lengths"))
-    labels = F.split(host(F.col("url")), r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
-    )
+    depths = [r[0] for r in rules.select(_labels(F.col("at"))).distinct().collect()]
+    site = host(F.col("url"))
+    suffixes = F.array(
+        *[F.when(_labels(site) >= n, F.substring_index(site, ".", -n)) for n in sorted(depths)]
+    ).cast("array<string>")
     parts = urls.select("url").where(F.col("url").contains("://")).distinct()
     parts = parts.select("url", path(F.col("url")).alias("whole"), F.explode(suffixes).alias("at"))
     prefixes = parts.join(lengths, "at").select("url", "at", "whole", F.explode("lengths").alias("n"))
@@ -127,7 +135,7 @@ def judge_pages(pages: DataFrame, rules: DataFrame) -> DataFrame:
     of its aliases is blocked by a rule and none is allowed by one: an explicit allow goes first.
     Rules also judge link targets that are no pages themselves. Rows with a NULL url, or one
     without ``://``, have an empty host and path, no rule and no links, and are allowed unless an
-    equal text is blocked. Repeated rows get the same verdict each; other columns are ignored.
+    equal text is blocked. Hosts may have any number of labels. Repeated rows get the same verdict each; other columns are ignored.
     """
     pages = pages.select("page_id", "url", "html")
     found = links(pages)

@@ -28,6 +28,12 @@ CASES = [  # page_id, url, html, host, path, rule, verdict
     (18, "http://other.net/", '<link rel="stylesheet" href="http://evil.net/a">', "other.net", "/", None, "allow"),
     (19, "http://gone.net/", '<link rel="canonical" href="http://t.io/gone">', "gone.net", "/", None, "block"),
     (9, "http://evil.net/a", "", "evil.net", "/a", "evil.net/", "block"),
+    (20, "http://q.net/d/p", '<link rel="canonical" href="?a=1">', "q.net", "/d/p", None, "block"),
+    (21, "http://q.net/d/p?a=1", '<link rel="canonical" href="http://evil.net/a">', "q.net", "/d/p", None, "block"),
+    (22, "http://q.net/d/r", '<link rel="canonical" href="#a">', "q.net", "/d/r", None, "allow"),
+    (23, "http://q.net/d/", '<link rel="canonical" href="http://evil.net/a">', "q.net", "/d/", None, "block"),
+    (24, "http://" + "a." * 20_000 + "evil.net/z", "", "a." * 20_000 + "evil.net", "/z", "evil.net/", "block"),
+    (25, "http://" + "." * 5_000 + "/", "", "." * 5_000, "/", None, "allow"),
     (None, "x://://y", "", ":", "//y", None, "allow"),
 ]
 
@@ -44,6 +50,12 @@ def test_hostless_and_empty(spark):
     assert urls.judge_pages(pages, urls.rules_table(spark, RULES)).count() == 0
 
 
+def test_no_rules_and_rules_without_a_host(spark):
+    pages = spark.createDataFrame([(1, "http://a.b/c", None), (2, None, None)], "page_id long, url string, html string")
+    none = urls.rules_table(spark, [("block", None, "/"), ("block", "b", None)])
+    assert {r.verdict for r in urls.judge_pages(pages, none).collect()} == {"allow"}
+
+
 @pytest.mark.parametrize("a, b", [
     ("http://www.a.b/x.html", "https://A.b:443/x#top"),
     ("http://a.b/x/?utm_source=q&ref=2", "http://m.a.b/x"),
