@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from shelfgap.llm.common import staged
 
 BEGIN, END = "<|im_start|>", "<|im_end|>\n"  # fixed values of the template
-_TOKEN = r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+# A long run counts by its length, whatever it is made of.
+_TOKEN = r"\p{L}{1,12}|\p{N}|[^\s\p{L}\p{N}]{1,4}|\s{16}"
 _TURN_TOKENS = 4  # of the template itself
 BUDGET = 2048
 HISTORY = 256
@@ -41,10 +42,11 @@ def _unescape_role(role: Column) -> Column:
 
 
 def _placed(turns: DataFrame, budget: int, history: int) -> DataFrame:
-    """Every turn with its tokens, the tokens before it in its conversation and its window.
+    """Every turn with its tokens, the tokens before it in its conversation, its window and the
+    tokens of the system turn that windows repeat (0 if they repeat none).
 
-    Windows are numbered upwards, not densely. With C tokens left for new turns, a turn of more
-    than C/2 tokens has a window of its own; the others share one while their first token lies in
+    Windows are numbered upwards, not densely. With C tokens left for new turns, beside history and
+    the repeated system turn, a turn of more than C/2 tokens has a window of its own; the others share one while their first token lies in
     the same stretch of C/2, which with the last turn makes C at most.
     """
     rows = turns.select(
@@ -68,7 +70,8 @@ def _placed(turns: DataFrame, budget: int, history: int) -> DataFrame:
     by_chunk = Window.partitionBy("conv_id").orderBy(F.col("chunk").asc_nulls_first())
     earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
     head = F.first("head").over(by_chunk)
-    system = F.when(head["role"] == "system", head["tokens"]).otherwise(0)
+    repeated = (head["role"] == "system") & (head["tokens"] <= (budget - history) // 2)
+    system = F.when(repeated, head["tokens"]).otherwise(0)
     chunks = chunks.select(
         F.col("conv_id").alias("of"),
         F.col("chunk").alias("in_chunk"),
@@ -81,8 +84,8 @@ def _placed(turns: DataFrame, budget: int, history: int) -> DataFrame:
     before = in_chunk.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("start", F.col("base") + F.coalesce(F.sum("tokens").over(before), F.lit(0)))
     rows = rows.withColumn("pos", F.col("turns_before") + F.col("at") - 1)
-    room = F.greatest(F.lit(budget - history) - F.col("system"), F.lit(budget // 4))
-    rows = rows.withColumn("half", F.floor(room / 2)).withColumn("big", F.col("tokens") > F.col("half"))
+    room = F.lit(budget - history) - F.col("system")
+    rows = rows.withColumn("half", F.greatest(F.floor(room / 2), F.lit(1))).withColumn("big", F.col("tokens") > F.col("half"))
     # Long turns before this one, again per chunk first.
     big = F.col("big").cast("long")
     counts = rows.groupBy("conv_id", "chunk").agg(F.sum(big).alias("n"))
@@ -95,7 +98,7 @@ def _placed(turns: DataFrame, budget: int, history: int) -> DataFrame:
     big_before = F.col("big_base") + F.coalesce(F.sum(big).over(before), F.lit(0))
     edge = 2 * big_before + big
     rows = rows.withColumn("window", edge * F.lit(1 << 40) + F.floor(F.col("start") / F.col("half")))
-    return rows.select("conv_id", "pos", "role", "text", "tokens", "start", "window")
+    return rows.select("conv_id", "pos", "role", "text", "tokens", "start", "window", "system")
 
 
 def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
@@ -103,13 +106,18 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
 
     ``formatted`` holds the window's turns, of which the first ``n_context`` repeat earlier
     windows: the system turn, if the conversation begins with one, and up to ``history`` tokens of
-    turns before. ``loss`` lists the targets as ``start`` and ``end`` (code points of
+    turns before.
+
+    A window has more tokens than ``budget`` only if it has a single turn of its own that does not
+    fit beside the system turn; it stays uncut and repeats no history. Where a turn leaves less
+    room, the window repeats less history. A system turn of more than half of budget less history
+    is repeated nowhere; it stands in its own place only. Tokens are counted by a pattern: up to 12
+    letters, one digit, up to 4 other signs or 16 blanks each. ``loss`` lists the targets as ``start`` and ``end`` (code points of
     ``formatted``, end excluded). Windows of a conversation follow each other by ``window``.
 
     ``turns`` has conv_id, turn, role and text. A NULL text or role counts as empty. Rows with the
     same turn are ordered by role and text, NULL turns come first, and the rows of NULL conv_id
-    are one conversation. A turn longer than the budget has a window of its own, uncut. An empty
-    table gives an empty result. Other columns are ignored.
+    are one conversation. An empty table gives an empty result. Other columns are ignored.
     """
     # Four branches read this; staged, the texts are not shuffled for each of them.
     placed = staged(_placed(turns, budget, history), "turns")
@@ -124,12 +132,20 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
     own = placed.select(
         *columns, (F.col("role") == "assistant").alias("target"), F.lit(False).alias("context")
     )
-    windows = placed.groupBy("conv_id", "window").agg(F.min("start").alias("from"), F.min("pos").alias("first"))
+    windows = placed.groupBy("conv_id", "window").agg(
+        F.min("start").alias("from"),
+        F.min("pos").alias("first"),
+        F.first("system").alias("system"),
+        F.sum("tokens").alias("own"),
+    )
+    with_system = (F.col("system") > 0) & (F.col("first") > 0)
+    left = F.lit(budget) - F.col("own") - F.when(with_system, F.col("system")).otherwise(0)
     windows = windows.select(
         F.col("conv_id").alias("of"),
         F.col("window").alias("into"),
         "from",
-        "first",
+        with_system.alias("with_system"),
+        F.least(F.lit(history), left).alias("room"),
         F.floor(F.col("from") / history).alias("stretch"),
     )
     # A turn is history of the windows that begin up to ``history`` tokens after its start.
@@ -141,10 +157,10 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
         F.col("conv_id").eqNullSafe(F.col("of"))
         & (F.col("near") == F.col("stretch"))
         & (gap > 0)
-        & (gap <= history),
+        & (gap <= F.col("room")),
     )
     system = placed.where(is_system).join(
-        windows.where(F.col("first") > 0), F.col("conv_id").eqNullSafe(F.col("of"))
+        windows.where("with_system"), F.col("conv_id").eqNullSafe(F.col("of"))
     )
     context = [
         df.select(

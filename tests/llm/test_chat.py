@@ -54,9 +54,37 @@ def test_digests_of_windows(spark, budget, history):
     windows = chat.format_windows(conversations(spark, CASES), budget, history).cache()
     got = {r.conv_id: tuple(r)[1:5] for r in chat.window_digests(windows).collect()}
     assert got == want(CASES)
-    longest = max(len(t[3] or "") for t in CASES)
-    for w in windows.collect():
-        assert w.n_tokens <= budget or longest > 4 * budget or w.formatted.count(chat.END) <= 4
+    for w in chat.read_turns(windows).collect():
+        assert len(w.turns) == w.formatted.count(chat.END)
+        assert w.n_tokens <= budget or stands_alone(w)
+
+
+def stands_alone(w):
+    return len(w.turns) == w.n_context + 1 and [t.role for t in w.turns[: w.n_context]] in ([], ["system"])
+
+
+def test_long_system_turns_and_long_turns_keep_the_budget(spark):
+    roles, sizes, turns = ("user", "assistant"), {}, []
+    for system in (3, 400, 890, 900, 1904, 5000):
+        for turn in (5, 700, 1500, 2030, 2100):
+            conv = len(sizes)
+            sizes[conv] = system, turn
+            turns.append((conv, 0, "system", "rule " * system))
+            turns += [(conv, k, roles[k % 2], "word " * (turn if k % 3 == 0 else 60)) for k in range(1, 30)]
+    found = chat.read_turns(chat.format_windows(conversations(spark, turns), 2048, 256)).collect()
+    assert sum(len(w.turns) - w.n_context for w in found) == len(turns)
+    for w in found:
+        system, turn = sizes[w.conv_id]
+        assert w.n_tokens <= 2048 or (stands_alone(w) and max(turn, system) + system + 8 > 2048)
+        if system <= 890 or w.n_context:
+            assert (w.turns[0].role == "system") == (system <= 890)
+
+
+def test_a_run_of_letters_counts_by_its_length(spark):
+    turns = [(1, 0, "user", "x" * 200_000), (1, 1, "assistant", "ok"), (1, 2, "user", " " * 100_000 + "!" * 100_000)]
+    found = sorted(chat.format_windows(conversations(spark, turns)).collect(), key=lambda w: w.window)
+    assert [w.n_tokens > 2048 for w in found] == [True, False, True]
+    assert [w.n_context for w in found] == [0, 0, 0]
 
 
 def test_windows_keep_the_system_turn_and_limited_history(spark):
