@@ -289,3 +289,34 @@ def test_key_settings_of_the_table_format():
     settings = _options(COMPETITOR_SALES, "hudi")
     assert settings["hoodie.datasource.write.recordkey.field"] == "seller_id,item_id"
     assert settings["hoodie.datasource.write.precombine.field"] == "sale_date"
+
+
+def tasks_of(path, copy):
+    return [os.path.basename(f).split("-")[1] for f in files_of(path, copy)]
+
+
+def test_a_task_writes_one_bucket(spark, tmp_path):
+    path = str(tmp_path / "table")
+    old = random_rows(1, 400, 40)
+    write_table(table(spark, old), path, COMPETITOR_SALES, buckets=16)
+    assert len(set(tasks_of(path, 1))) == len(tasks_of(path, 1)) == 16
+    upsert_table(table(spark, old[:1]), path, COMPETITOR_SALES)
+    before = files_of(path, 1)
+    new = random_rows(2, 12, 40)
+    upsert_table(table(spark, new), path, COMPETITOR_SALES)
+    written = [f for f, t in files_of(path, 1).items() if before.get(f) != t]
+    assert 1 < len(written) == len({os.path.basename(f).split("-")[1] for f in written}) < 16
+    assert rows(read_table(spark, path)) == brute_latest(old + new)
+
+
+@pytest.mark.parametrize("first", [40, 0])
+def test_buckets_follow_the_bytes_of_a_delivery_too(spark, tmp_path, monkeypatch, first):
+    path = str(tmp_path / "table")
+    every = spark.range(4000).selectExpr("string(id) seller_id", "'i' item_id", "1 sale_date", "int(id) units")
+    every.write.parquet(f"{tmp_path}/every")
+    every = spark.read.parquet(f"{tmp_path}/every")
+    write_table(every.where(f"units < {first}"), path, COMPETITOR_SALES, buckets=1)
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 4 << 10)
+    upsert_table(every, path, COMPETITOR_SALES)
+    assert len(files_of(path, 0)) > 4
+    assert read_table(spark, path).exceptAll(every).count() == 0 and read_table(spark, path).count() == 4000
