@@ -7,6 +7,7 @@ from dataclasses import replace
 import pytest
 import yaml
 
+from contract.views import Source
 from shelfgap.__main__ import main
 from shelfgap.plans.config import parse_config
 from shelfgap.plans import jobs
@@ -352,3 +353,18 @@ def test_replay_of_a_day(spark, job):
     replay(spark, COMPANY_SALES, again, "2024-03-01")
     got = sorted(map(tuple, read_table(spark, again.table).collect()))
     assert got == sorted(map(tuple, read_table(spark, paths.table).collect()))
+
+
+def test_uneven_lines_are_written_by_many_tasks(spark, tmp_path):
+    """Each file has the header, and no line is changed by it."""
+    line = ["id l_partkey", "1.0d l_quantity", "if(id % 2 = 0, 0.03d, 0.05d) l_discount", "9.5d l_extendedprice"]
+    lines = spark.range(8).selectExpr(*line, "0.0d l_tax", "date'1999-01-02' l_shipdate")
+    lines.repartition(4).write.parquet(f"{tmp_path}/lineitem.parquet")
+    source = Source(spark, str(tmp_path))
+    source._open["lineitem"] = source.table("lineitem").repartitionByRange(4, "l_partkey")
+    source.write_uneven_lines(f"{tmp_path}/in")
+    files = [open(p).read().splitlines() for p in glob.glob(f"{tmp_path}/in/part-*")]
+    assert len(files) == 4
+    assert {f[0] for f in files} == {"item_id,units_sold,revenue,sale_date"}
+    want = [f"{k},1" if k % 2 == 0 else f"{k},1,9.5,1999-01-02,extra" for k in range(8)]
+    assert sorted(x for f in files for x in f[1:]) == want
