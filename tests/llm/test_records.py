@@ -4,6 +4,7 @@ import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -115,3 +116,30 @@ def test_query(spark, tokenizer):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     result = QUERIES["op3_token_records"](spark, sf_dir)
     assert sorted(map(tuple, result.collect()), key=str) == want(list(map(tuple, docs)), tokenizer)
+
+
+def test_new_words_are_encoded_together(tokenizer):
+    """As the tokenizer encodes the texts, with fewer calls than words."""
+    texts = [f"{a}{b}ly {a.upper()}{b}, it's {b}é{a}. 12 日{a} ﬁ{b}" for a in ("foo", "bar", "què") for b in ("ba", "zu", "ing")]
+    words = records._WordIds(tokenizer_path(), "<u2")
+    calls = []
+    encode = words.encode
+    words.encode = lambda *a, **k: calls.append(a) or encode(*a, **k)
+    got = list(words.of_texts([t.encode() for t in texts]))
+    want_ids = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert got == want_ids
+    assert not any(records._PLAIN(a[0]) for a in calls)
+
+
+def test_ids_stay_with_their_documents_over_many_portions(spark, tmp_path, tokenizer, monkeypatch):
+    texts = [(k, f"w{k} s{k}. " * 60_000) for k in range(6)] + [(40, None), (41, ""), (42, "end")]
+    rows = pa.RecordBatch.from_pydict({"t": [None if t is None else t.encode() for _, t in texts]})
+    with monkeypatch.context() as m:
+        m.setattr(records, "LEARN_BYTES", 1)
+        portions = list(records._portions(rows.column(0)))
+    assert sum(len(t or "") for _, t in texts) > 2 * records.LEARN_BYTES
+    assert [x for p in portions for x in p] == [(t or "").encode() for _, t in texts] and len(portions) == 7
+    docs = spark.createDataFrame([(i, t) for i, t in texts], "doc_id long, text string").coalesce(1)
+    index = records.write_records(docs, str(tmp_path), tokenizer_path())
+    got = sorted(map(tuple, records.record_digests(index, str(tmp_path)).collect()), key=str)
+    assert got == want(texts, tokenizer)
