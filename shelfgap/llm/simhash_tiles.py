@@ -25,7 +25,9 @@ from shelfgap.llm.union import roots as _roots, unite
 SEED = 42
 TILE_ROWS = 1 << 15
 TILES_PER_GROUP = 64
+GROUP_BYTES = 32 << 20  # of fingerprints that a task holds together, about
 CELLS_AT_ONCE = 1 << 20  # of a comparison
+HITS_AT_ONCE = 1 << 17  # of its cells that are compared in full
 BITS_AT_ONCE = 1 << 16  # hashes unpacked together
 _ODD = 0x9E3779B97F4A7C15
 _MIX = [(2 * k + 1) * _ODD % (1 << 64) for k in range(16)]  # odd factors, one per 64 bits
@@ -89,6 +91,19 @@ def _matrix(column: list[bytes], words: int) -> np.ndarray:
     return np.frombuffer(b"".join(column), "<u8").reshape(-1, words)
 
 
+def _tile(rows: pa.ListScalar, words: int) -> np.ndarray:
+    """The fingerprints of a tile, without an object for each."""
+    fixed = rows.values.cast(pa.binary(8 * words))
+    found = np.frombuffer(fixed.buffers()[1], "<u8", len(fixed) * words, fixed.offset * 8 * words)
+    return found.reshape(-1, words)
+
+
+def _column(parts: list[np.ndarray], words: int) -> pa.Array:
+    rows = np.concatenate([np.zeros((0, words), "<u8"), *parts])
+    fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * words), len(rows), [None, pa.py_buffer(rows)])
+    return fixed.cast(pa.binary())
+
+
 def _quarters(first: np.ndarray) -> np.ndarray:
     """Population counts of the four quarters of the leading 64 bits."""
     parts = np.ascontiguousarray(first).view("<u2").reshape(-1, 4)
@@ -108,9 +123,10 @@ def near_pairs(
         order = np.argsort(key, kind="stable")
         cuts = np.flatnonzero(np.diff(key[order])) + 1
         parts = np.split(order, cuts)
-        picks = [(p, np.flatnonzero(np.abs(of_b - of_a[p[0]]).sum(1) <= first_radius)) for p in parts]
+        # One at a time: with a large radius each part meets nearly all of b.
+        picks = ((p, np.flatnonzero(np.abs(of_b - of_a[p[0]]).sum(1) <= first_radius)) for p in parts)
     else:
-        picks = [(rows, np.arange(len(b)))]
+        picks = iter([(rows, np.arange(len(b)))])
     for mine, theirs in picks:
         if not len(theirs):
             continue
@@ -119,12 +135,14 @@ def near_pairs(
         for lo in range(0, len(mine), step):
             part = a[mine[lo : lo + step]]
             bits = np.bitwise_count(part[:, 0][:, None] ^ other[:, 0][None, :])
-            i, j = np.nonzero(bits <= first_radius)
-            if part.shape[1] > 1 and len(i):
-                close = np.bitwise_count(part[i] ^ other[j]).sum(1, dtype=np.int64) <= radius
-                i, j = i[close], j[close]
-            if len(i):
-                yield mine[lo + i], theirs[j]
+            hits = np.flatnonzero(bits <= first_radius)
+            for at in range(0, len(hits), HITS_AT_ONCE):
+                i, j = np.divmod(hits[at : at + HITS_AT_ONCE], len(theirs))
+                if part.shape[1] > 1:
+                    close = np.bitwise_count(part[i] ^ other[j]).sum(1, dtype=np.int64) <= radius
+                    i, j = i[close], j[close]
+                if len(i):
+                    yield mine[lo + i], theirs[j]
 
 
 def _bins(radius: int) -> int:
@@ -158,7 +176,8 @@ def links(distinct: DataFrame, radius: int, words: int = 1, first_radius: int |
     offsets = [(x, y) for x in reach for y in reach if least(abs(x)) + least(abs(y)) <= first_radius]
     offset = F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in offsets]))
     ids = packed.select("tile", "lo", "hi")
-    groups = max(1, -(-ids.count() // TILES_PER_GROUP))
+    together = max(1, min(TILES_PER_GROUP, GROUP_BYTES // (TILE_ROWS * 8 * words)))
+    groups = max(1, -(-ids.count() // together))
     around = ids.select("tile", "lo", "hi", offset.alias("o")).select(
         F.col("tile").alias("a"), (F.col("lo") + F.col("o.x")).alias("lo"), (F.col("hi") + F.col("o.y")).alias("hi")
     )
@@ -172,32 +191,31 @@ def links(distinct: DataFrame, radius: int, words: int = 1, first_radius: int |
     )
 
     def compare(table: pa.Table) -> pa.Table:
-        tiles = [r.values.to_pylist() for r in table["rows"]]
+        tiles, names = table["rows"], table["tile"].to_pylist()
         mine = table["own"].to_pylist().index(True)
-        a = _matrix(tiles[mine], words)
-        name = table["tile"][mine].as_py()
-        members, nodes, starts = list(tiles[mine]), len(a), {}
-        for k, rows in enumerate(tiles):
+        a = _tile(tiles[mine], words)
+        labels = np.arange(len(a))
+        members, roots = [], []
+        for k, name in enumerate(names):
             if k == mine:
                 continue
-            if table["tile"][k].as_py() == name:
-                starts[k] = 0  # the tile with itself
-            else:
-                starts[k] = nodes
-                members += rows
-                nodes += len(rows)
-        labels = np.arange(nodes)
-        for k, start in starts.items():
-            for i, j in near_pairs(a, _matrix(tiles[k], words), radius, first_radius):
-                unite(labels, i, j + start)
-        joined = np.flatnonzero(labels != np.arange(nodes))
-        roots = _roots(labels, joined)
-        return pa.table(
-            {
-                "a": pa.array([members[k] for k in joined], pa.binary()),
-                "b": pa.array([members[k] for k in roots], pa.binary()),
-            }
-        )
+            if name == names[mine]:  # the tile with itself
+                for i, j in near_pairs(a, a, radius, first_radius):
+                    unite(labels, i, j)
+                continue
+            # Rows of another tile link to rows of this one only, so their roots are here.
+            b = _tile(tiles[k], words)
+            labels = np.concatenate([labels, len(a) + np.arange(len(b))])
+            for i, j in near_pairs(a, b, radius, first_radius):
+                unite(labels, i, j + len(a))
+            joined = np.flatnonzero(labels[len(a) :] != len(a) + np.arange(len(b)))
+            members.append(b[joined])
+            roots.append(a[_roots(labels, len(a) + joined)])
+            labels = labels[: len(a)].copy()
+        joined = np.flatnonzero(labels != np.arange(len(a)))
+        members.append(a[joined])
+        roots.append(a[_roots(labels, joined)])
+        return pa.table({"a": _column(members, words), "b": _column(roots, words)})
 
     return theirs.unionAll(own).groupBy("a", "part").applyInArrow(compare, "a binary, b binary")
 

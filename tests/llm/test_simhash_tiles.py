@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -80,6 +81,41 @@ def test_links_connect_what_is_near(spark, monkeypatch, radius, words, first):
     assert got == want
 
 
+@pytest.mark.parametrize("copies", [False, True])
+def test_comparison_of_tiles_holds_little(copies):
+    n, words, radius, first = 8192, 8, 115, 22
+    rng = np.random.default_rng(4)
+    a, b = (rng.integers(0, 1 << 63, (n, words), dtype=np.uint64) for _ in range(2))
+    if copies:  # all cells are hits
+        a[:1500], b[:1500] = a[0], a[0]
+        a, b = a[:1500], b[:1500]
+    else:
+        b[::100] = a[::100]
+    tracemalloc.start()
+    found = sum(len(i) for i, _ in simhash_tiles.near_pairs(a, b, radius, first))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == (1500 * 1500 if copies else len(range(0, n, 100)))
+    assert peak < 48 << 20
+
+
+def test_links_over_groups_of_few_tiles(spark, monkeypatch):
+    monkeypatch.setattr(simhash_tiles, "TILE_ROWS", 20)
+    monkeypatch.setattr(simhash_tiles, "GROUP_BYTES", 2 * 20 * 64)  # two tiles
+    rng = np.random.default_rng(5)
+    centres = rng.integers(0, 1 << 63, (12, 8), dtype=np.uint64)
+    points = np.repeat(centres, 25, 0)
+    points[:, 7] ^= rng.integers(0, 1 << 12, len(points), dtype=np.uint64)
+    points = sorted({p.tobytes() for p in points})
+    df = spark.createDataFrame([(bytearray(p),) for p in points], "fingerprint binary")
+    links = simhash_tiles.links(df, 115, 8, 22)
+    place = {p: k for k, p in enumerate(points)}
+    got = classes(len(points), [(place[bytes(r.a)], place[bytes(r.b)]) for r in links.collect()])
+    m = simhash_tiles._matrix(points, 8)
+    near = np.bitwise_count(m[:, None] ^ m[None]).sum(2, dtype=int) <= 115
+    assert got == classes(len(points), [(a, b) for a, b in zip(*np.nonzero(near)) if a > b])
+
+
 def test_one_document_of_each_group_stays(spark):
     rnd = random.Random(0)
     vocabulary = [f"v{k}" for k in range(400)]
