@@ -11,6 +11,7 @@ put the forests together.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from shelfgap.llm.common import free_name, staged
 from shelfgap.llm.components import connected_components
+from shelfgap.llm.prefixes import Order, late_shingles, near_links, prefix
 from shelfgap.llm.shingle_sets import blocks_of, set_name, similar_pairs
 from shelfgap.llm.union import roots as _roots, unite
 
@@ -250,15 +252,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, text: st
     return found.select("doc_id", big_endian.alias("fingerprint"), "component_id")
 
 
-def set_prints(docs: DataFrame, shingle: int, words: int, text: str = "text") -> DataFrame:
+def set_prints(
+    docs: DataFrame, shingle: int, words: int, similarity: float, order: Order, text: str = "text"
+) -> DataFrame:
     """doc_id, text_hash, node (16 bytes that name the set of shingles), fingerprint (8 x ``words``
-    bytes, of the set) and n (shingles in the set) of every row."""
+    bytes, of the set), n (shingles in the set), lead (the first 64 bits of the fingerprint) and keys
+    (the shingles one of which sets of ``similarity`` share) of every row."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = (np.unique(shingle_hashes(t.as_py() or b"", shingle)) for t in batch.column(2))
-            found = [(set_name(s), fingerprint_of(s, words), len(s)) for s in sets]
-            node, prints, n = list(zip(*found)) or [()] * 3
+            found = [
+                (set_name(s), fingerprint_of(s, words), len(s), prefix(s, similarity, order).astype("<u8").tobytes())
+                for s in sets
+            ]
+            node, prints, n, keys = list(zip(*found)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -266,8 +274,10 @@ def set_prints(docs: DataFrame, shingle: int, words: int, text: str = "text") ->
                     pa.array(node, pa.binary()),
                     pa.array(prints, pa.binary()),
                     pa.array(n, pa.int64()),
+                    pa.array([int.from_bytes(p[:8], "little", signed=True) for p in prints], pa.int64()),
+                    pa.array(keys, pa.binary()),
                 ],
-                ["doc_id", "text_hash", "node", "fingerprint", "n"],
+                ["doc_id", "text_hash", "node", "fingerprint", "n", "lead", "keys"],
             )
 
     rows = docs.select(
@@ -275,7 +285,9 @@ def set_prints(docs: DataFrame, shingle: int, words: int, text: str = "text") ->
         F.xxhash64(text).alias("text_hash"),
         F.col(text).cast("binary").alias("text"),
     )
-    return rows.mapInArrow(compute, "doc_id long, text_hash long, node binary, fingerprint binary, n long")
+    return rows.mapInArrow(
+        compute, "doc_id long, text_hash long, node binary, fingerprint binary, n long, lead long, keys binary"
+    )
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, text: str) -> DataFrame:
@@ -312,20 +324,23 @@ def drop_near_duplicates(
 
     Two texts are near duplicates if their sets of word shingles share at least ``similarity`` of
     all shingles of both; groups are connected by such pairs. Fingerprints only say which texts are
-    compared: those that ``radius`` connects, directly or through others. Two sets of which the
+    compared: those that ``radius`` connects, directly or through others. Fingerprints are compared
+    where sets share a shingle that similar sets have to share (``prefixes``), so the work does not
+    grow with the square of the different texts. Two sets of which the
     cosine is c differ in about arccos(c) / pi of the bits. A similarity of 0.8 is a cosine of 0.89
     at least and 78 +- 8 of 512 bits at most, one of 0.6 is 118 +- 10; unrelated texts differ in
     half of them. Texts with equal sets are one from the start, so are texts without words. Of rows
     with the same doc_id and text one stays. All columns are kept.
     """
-    prints = staged(set_prints(docs, shingle, words, text), "prints")
+    late = late_shingles(docs, partial(shingle_hashes, shingle=shingle), text)
+    prints = staged(set_prints(docs, shingle, words, similarity, late, text), "prints")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    nodes = staged(prints.groupBy("node", "fingerprint", "n").agg(F.min(order).alias("first")), "nodes")
-    distinct = staged(nodes.select("fingerprint").distinct(), "distinct")
-    near = connected_components(links(distinct, radius, words, first_radius))
-    near = near.select(F.col("node").alias("fingerprint"), "component")
-    placed = nodes.join(near, "fingerprint", "left")
-    placed = staged(placed.withColumn("near", F.coalesce("component", "fingerprint")), "placed")
+    nodes = prints.groupBy("node", "fingerprint", "lead", "n").agg(F.min(order).alias("first"))
+    nodes = staged(nodes, "nodes")
+    edges = near_links(prints, nodes.select("node", "lead", "fingerprint"), radius, words, first_radius)
+    near = connected_components(edges)
+    placed = nodes.drop("fingerprint", "lead").join(near, "node", "left")
+    placed = staged(placed.withColumn("near", F.coalesce("component", "node")), "placed")
     sizes = placed.groupBy("near").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("n"))
     sizes = sizes.where(F.col("members") > 1).select("near", blocks_of(F.col("n")).alias("blocks"))
     # Staged before the join, so that Spark may split a large group.
