@@ -31,6 +31,7 @@ GROUP_BYTES = 32 << 20  # of fingerprints that a task holds together, about
 CELLS_AT_ONCE = 1 << 20  # of a comparison
 HITS_AT_ONCE = 1 << 17  # of its cells that are compared in full
 BITS_AT_ONCE = 1 << 16  # hashes unpacked together
+ROWS_AT_ONCE = 1 << 10  # whose keys go on together
 _ODD = 0x9E3779B97F4A7C15
 _MIX = [(2 * k + 1) * _ODD % (1 << 64) for k in range(16)]  # odd factors, one per 64 bits
 
@@ -260,7 +261,8 @@ def set_prints(
     (the shingles one of which sets of ``similarity`` share) of every row."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        parts = (b.slice(k, ROWS_AT_ONCE) for b in batches for k in range(0, b.num_rows, ROWS_AT_ONCE))
+        for batch in parts:
             sets = (np.unique(shingle_hashes(t.as_py() or b"", shingle)) for t in batch.column(2))
             found = [
                 (set_name(s), fingerprint_of(s, words), len(s), prefix(s, similarity, order).astype("<u8").tobytes())
